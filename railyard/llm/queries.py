@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from railyard.core import table
 from railyard.llm.encode import encode_texts
 from railyard.llm.mixing import mix_records, mix_report, mix_shortfall
+from railyard.llm.overlaps import overlap_pairs, overlap_report
 from railyard.llm.quota import quota_report, quota_sample
 from railyard.llm.runs import collapse_runs
 
@@ -41,6 +42,14 @@ def p3_report(spark: SparkSession, sf: str) -> DataFrame:
     return mix_report(table(spark, sf, "sft_mix_chat"), table(spark, sf, "mix_targets"))
 
 
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return overlap_pairs(table(spark, sf, "db_tasks"), table(spark, sf, "task_splits"))
+
+
+def p4_report(spark: SparkSession, sf: str) -> DataFrame:
+    return overlap_report(table(spark, sf, "db_tasks"), table(spark, sf, "task_splits"))
+
+
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return collapse_runs(table(spark, sf, "db_traces_chat")).select("trace_id", "first_seq", "last_seq")
 
@@ -56,6 +65,7 @@ def p6_ids(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "p2_found": p2_found, "p2_sample": p2_sample, "p2_report": p2_report,
     "p3_found": p3_found, "p3_mix": p3_mix, "p3_report": p3_report,
+    "p4_found": p4_found, "p4_report": p4_report,
     "p5_found": p5_found, "p5_collapsed": p5_collapsed,
     "p6_ids": p6_ids,
 }
