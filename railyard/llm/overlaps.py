@@ -170,9 +170,9 @@ def fingerprint(core: str) -> np.ndarray | None:
     return np.packbits(total > 0).view(">u4").astype(np.int64)
 
 
-def slip(a: str, b: str) -> bool:
+def slip(a: str, b: str, most: int = 2) -> bool:
     """Whether b is a with at most two slips (one in a short word): a letter left out, added, changed or two swapped."""
-    most = 1 if min(len(a), len(b)) < 6 else 2
+    most = 1 if min(len(a), len(b)) < 6 else most
     if abs(len(a) - len(b)) > most or min(len(a), len(b)) < 3:
         return False
     before2, before = None, list(range(len(b) + 1))
@@ -204,7 +204,7 @@ class Verifier:
 
     def mend(self, word: str) -> str:
         if word not in self.slips:
-            near = [(n, w) for w, n in self.frequency.items() if n >= 10 * self.least and slip(word, w)] if len(word) > 3 else []
+            near = [(n, w) for w, n in self.frequency.items() if n >= 10 * self.least and slip(word, w, 1)] if len(word) > 3 else []
             if len(self.slips) > 100_000:
                 self.slips.clear()
             self.slips[word] = max(near)[1] if near else word

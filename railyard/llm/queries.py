@@ -11,6 +11,7 @@ from railyard.core import table
 from railyard.llm.encode import encode_texts
 from railyard.llm.mixing import mix_records, mix_report, mix_shortfall
 from railyard.llm.overlaps import overlap_pairs, overlap_report
+from railyard.llm.packing import fill_report, pack_documents
 from railyard.llm.quota import quota_report, quota_sample
 from railyard.llm.runs import collapse_runs
 
@@ -62,12 +63,22 @@ def p6_ids(spark: SparkSession, sf: str) -> DataFrame:
     return encode_texts(table(spark, sf, "documents"))
 
 
+def p7_placed(spark: SparkSession, sf: str) -> DataFrame:
+    return pack_documents(table(spark, sf, "documents"), table(spark, sf, "pack_sizes"))
+
+
+def p7_fill(spark: SparkSession, sf: str) -> DataFrame:
+    packs = table(spark, sf, "pack_sizes")
+    return fill_report(pack_documents(table(spark, sf, "documents"), packs), packs)
+
+
 QUERIES: dict[str, Query] = {
     "p2_found": p2_found, "p2_sample": p2_sample, "p2_report": p2_report,
     "p3_found": p3_found, "p3_mix": p3_mix, "p3_report": p3_report,
     "p4_found": p4_found, "p4_report": p4_report,
     "p5_found": p5_found, "p5_collapsed": p5_collapsed,
     "p6_ids": p6_ids,
+    "p7_placed": p7_placed, "p7_fill": p7_fill,
 }
 
 LABEL = "nullif(regexp_replace(lower(trim({0}, ' ' || chr(9) || chr(10) || chr(13) || chr(160))), '[\\s-]+', '_', 'g'), '')"
