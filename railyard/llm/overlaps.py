@@ -29,6 +29,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -159,14 +160,16 @@ def _bits(token: str) -> np.ndarray:
 
 
 def fingerprint(core: str) -> np.ndarray | None:
-    """The SimHash as four 32-bit numbers; values weigh by their digits."""
+    """The SimHash as four 32-bit numbers, of the values and their pairs."""
     words = core.split()
     if not words:
         return None
-    values = [w for w in words if has_number(w)] or words
+    values = sorted({w for w in words if has_number(w)})
+    # pairs of values keep one of few (a date that many tickets have) from ruling the sum
+    features = [*values, *(f"{a} {b}" for a, b in (combinations(values, 2) if len(values) <= 64 else zip(values, values[1:])))] or sorted(set(words))
     total = np.zeros(128, np.int64)
-    for w in sorted(set(values)):
-        total += _bits(w) * (len(w) if has_number(w) else 1)
+    for f in features:
+        total += _bits(f)
     return np.packbits(total > 0).view(">u4").astype(np.int64)
 
 

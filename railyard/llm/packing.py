@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from railyard.core import checkpointed
 from railyard.llm.encode import TOKENIZERS, Encoder, shared_table, slices
 
-BUCKETS = 384
+BUCKETS = 256
 SALTS = 64
 
 
@@ -67,42 +67,45 @@ def best_boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> np
     n = len(lengths)
     if n <= buckets:
         return lengths
-    items = np.concatenate(([0], np.cumsum(counts))).astype(np.float64)
-    total = np.concatenate(([0], np.cumsum(lengths * counts))).astype(np.float64)
-    best = np.full(n + 1, np.inf)
-    best[0] = 0
-    back = np.zeros((buckets + 1, n + 1), np.int32)
-    for k in range(1, buckets + 1):
-        new = np.full(n + 1, np.inf)
-        new[0] = 0
-        # line i: slope -items[i], height best[i] + total[i]; asked at rising lengths
+    # whole numbers in plain lists: exact, and quicker to read one by one than arrays
+    items = [0, *np.cumsum(counts).tolist()]
+    total = [0, *np.cumsum(lengths * counts).tolist()]
+    sizes = lengths.tolist()
+    # height[i]: least padding of the first i lengths, plus their total; None where k - 1 buckets cannot end there
+    height: list[int | None] = [0] + [None] * n
+    back = []
+    for _ in range(buckets):
+        new: list[int | None] = [0] + [None] * n
+        chosen = [0] * (n + 1)
+        # lines of slope -items[i] and height[i], asked at rising lengths
         hull: list[int] = []
         head = 0
-        height = best + total
         for j in range(1, n + 1):
             i = j - 1
-            if np.isfinite(height[i]):
+            h = height[i]
+            if h is not None:
                 while len(hull) - head >= 2:
-                    a, b = hull[-2], hull[-1]
-                    if (height[i] - height[a]) * (items[b] - items[a]) <= (height[b] - height[a]) * (items[i] - items[a]):
+                    p, q = hull[-2], hull[-1]
+                    if (h - height[p]) * (items[q] - items[p]) <= (height[q] - height[p]) * (items[i] - items[p]):
                         hull.pop()
                     else:
                         break
                 hull.append(i)
-            x = float(lengths[j - 1])
-            while len(hull) - head >= 2 and height[hull[head + 1]] - x * items[hull[head + 1]] <= height[hull[head]] - x * items[hull[head]]:
+            x = sizes[i]
+            while len(hull) - head >= 2 and height[hull[head + 1]] - height[hull[head]] <= x * (items[hull[head + 1]] - items[hull[head]]):
                 head += 1
             if head < len(hull):
                 i = hull[head]
-                new[j] = x * (items[j] - items[i]) - total[j] + best[i] + total[i]
-                back[k, j] = i
-        best = new
+                new[j] = x * (items[j] - items[i]) + height[i]
+                chosen[j] = i
+        height = new
+        back.append(chosen)
     ends, j = [], n
     for k in range(buckets, 0, -1):
         if j <= 0:
             break
         ends.append(int(lengths[j - 1]))
-        j = int(back[k, j])
+        j = back[k - 1][j]
     return np.array(sorted(set(ends)), np.int64)
 
 
