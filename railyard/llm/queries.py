@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from railyard.core import table
 from railyard.llm.encode import encode_texts
+from railyard.llm.leaks import find_leaks, leak_report
 from railyard.llm.mixing import mix_records, mix_report, mix_shortfall
 from railyard.llm.overlaps import overlap_pairs, overlap_report
 from railyard.llm.packing import fill_report, pack_documents
@@ -18,6 +19,14 @@ from railyard.llm.runs import collapse_runs
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return find_leaks(table(spark, sf, "areal_chat"), table(spark, sf, "heldout_items"))
+
+
+def p1_report(spark: SparkSession, sf: str) -> DataFrame:
+    return leak_report(table(spark, sf, "areal_chat"), table(spark, sf, "heldout_items"))
+
+
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     report = quota_report(table(spark, sf, "db_traces_chat"), table(spark, sf, "sample_targets"))
     return report.filter("short").select("request_id", "category")
@@ -73,6 +82,7 @@ def p7_fill(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "p1_found": p1_found, "p1_report": p1_report,
     "p2_found": p2_found, "p2_sample": p2_sample, "p2_report": p2_report,
     "p3_found": p3_found, "p3_mix": p3_mix, "p3_report": p3_report,
     "p4_found": p4_found, "p4_report": p4_report,
