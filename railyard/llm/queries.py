@@ -11,6 +11,7 @@ from railyard.core import table
 from railyard.llm.encode import encode_texts
 from railyard.llm.leaks import find_leaks, leak_report
 from railyard.llm.mixing import mix_records, mix_report, mix_shortfall
+from railyard.llm.mojibake import find_garbled
 from railyard.llm.overlaps import overlap_pairs, overlap_report
 from railyard.llm.packing import fill_report, pack_documents
 from railyard.llm.quota import quota_report, quota_sample
@@ -81,6 +82,14 @@ def p7_fill(spark: SparkSession, sf: str) -> DataFrame:
     return fill_report(pack_documents(table(spark, sf, "documents"), packs), packs)
 
 
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return find_garbled(table(spark, sf, "documents")).select("doc_id")
+
+
+def p8_restored(spark: SparkSession, sf: str) -> DataFrame:
+    return find_garbled(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "p1_found": p1_found, "p1_report": p1_report,
     "p2_found": p2_found, "p2_sample": p2_sample, "p2_report": p2_report,
@@ -89,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "p5_found": p5_found, "p5_collapsed": p5_collapsed,
     "p6_ids": p6_ids,
     "p7_placed": p7_placed, "p7_fill": p7_fill,
+    "p8_found": p8_found, "p8_restored": p8_restored,
 }
 
 LABEL = "nullif(regexp_replace(lower(trim({0}, ' ' || chr(9) || chr(10) || chr(13) || chr(160))), '[\\s-]+', '_', 'g'), '')"
