@@ -26,9 +26,9 @@ def hashed_rank(df: DataFrame, group: list[str], digest: Column, name: str) -> D
     same = F.col("_slice") == F.col("_s")
     for i, g in enumerate(group):
         same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
-    place = F.row_number().over(W.partitionBy(*group, "_slice").orderBy("_digest"))
-    out = rows.withColumn("_place", place).join(sizes, same)
-    return out.withColumn(name, F.col("_place") + F.col("_before")).drop("_digest", "_slice", "_s", "_before", "_place", *(f"_g{i}" for i in range(len(group))))
+    within = F.row_number().over(W.partitionBy(*group, "_slice").orderBy("_digest"))
+    out = rows.withColumn("_within", within).join(sizes, same)
+    return out.withColumn(name, F.col("_within") + F.col("_before")).drop("_digest", "_slice", "_s", "_before", "_within", *(f"_g{i}" for i in range(len(group))))
 
 
 def draw_unit(seed: str, key: Column | str) -> Column:
