@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,3 +41,11 @@ def hash_unit(*cols: Column | str, seed: int = 42) -> Column:
     """A number in (0, 1) that depends on the seed and the key only, the same at every layout of the data."""
     h = F.xxhash64(F.lit(seed), *cols)
     return (F.shiftrightunsigned(h, 11).cast("double") + F.lit(0.5)) * F.lit(2.0**-53)
+
+
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value) with the value computed once.
+
+    An expression used inside a lambda is computed anew for each element; as a lambda's own variable it is not.
+    """
+    return F.element_at(F.transform(F.array(value), f), 1)

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from railyard.core import bound
+
 
 def ordered(calls: Column) -> Column:
     """Calls by seq, each held once; an empty array for null."""
@@ -34,7 +36,7 @@ def last_index(messages: Column, role: str) -> Column:
 
 def trained_chars(messages: Column) -> Column:
     """Characters of the assistant messages after the last user message; all of them without a user message."""
-    spoken = F.filter(messages, lambda m, i: (i > last_index(messages, "user")) & (m["role"] == "assistant"))
+    spoken = bound(last_index(messages, "user"), lambda at: F.filter(messages, lambda m, i: (i > at) & (m["role"] == "assistant")))
     return F.aggregate(spoken, F.lit(0).cast("long"), lambda n, m: n + F.coalesce(F.length(m["content"]), F.lit(0)))
 
 
@@ -84,9 +86,12 @@ def longest_streak(flags: Column) -> Column:
 def duplicate_ratio(text: Column, n: int = 8, least: int = 32) -> Column:
     """1 - distinct / all word n-grams, rounded half even to 3; 0 for fewer than ``least`` words."""
     words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
-    grams = F.transform(F.sequence(F.lit(1), F.size(words) - (n - 1)), lambda i: F.array_join(F.slice(words, i, n), " "))
-    ratio = 1.0 - F.size(F.array_distinct(grams)) / F.size(grams)
-    return F.when(F.size(words) >= least, F.bround(ratio, 3)).otherwise(F.lit(0.0))
+
+    def ratio(w: Column) -> Column:
+        grams = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))
+        return F.when(F.size(w) >= least, bound(grams, lambda g: F.bround(1.0 - F.size(F.array_distinct(g)) / F.size(g), 3))).otherwise(F.lit(0.0))
+
+    return bound(words, ratio)
 
 
 def hourly(events: DataFrame, ts: str) -> DataFrame:

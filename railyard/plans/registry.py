@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("reports", "samples", "sequences")
+MODULES = ("reports", "samples", "sequences", "texts")
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
