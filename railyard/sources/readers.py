@@ -38,7 +38,7 @@ def split_broken(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def read_map(spark: SparkSession, path: str, value_schema: str) -> DataFrame:
     """A JSON document that maps ids to records, as rows (id, the record's fields)."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     m = F.explode(F.from_json("value", f"map<string,struct<{value_schema}>>")).alias("id", "r")
     return text.select(m).select("id", "r.*")
 
@@ -49,7 +49,7 @@ def read_headed(spark: SparkSession, folder: str, header_schema: str, row_schema
     The category is the file's name without prefix up to the last ``_v<digits>_`` and without the suffix.
     A header is told by position 0 in its file, so no order across files is needed.
     """
-    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").option("wholetext", True).text(folder)
+    lines = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*{suffix}")
     base = os.path.abspath(folder).rstrip("/") + "/"
     path = F.col("_metadata.file_path")
     relative = F.substring_index(path, base, -1)
@@ -91,4 +91,4 @@ def file_sizes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_text_file(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("wholetext", True).text(path)
+    return spark.read.text(path, wholetext=True)
