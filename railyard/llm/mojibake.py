@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 AS_READ = ("cp1252", "latin-1", "cp437", "cp850", "mac_roman", "cp1250", "cp1251", "cp852", "iso8859-2", "iso8859-15", "cp1253", "cp1254", "cp1257", "koi8-r", "cp866")
 #: (read as, was) for texts of one byte a character.
 SWAPPED = (("cp437", "cp1252"), ("cp850", "cp1252"), ("mac_roman", "cp1252"), ("cp1252", "cp437"), ("cp1252", "cp850"), ("cp1252", "mac_roman"), ("latin-1", "cp850"), ("latin-1", "mac_roman"), ("cp1252", "cp1250"), ("cp1251", "cp1252"), ("cp1252", "cp1251"))
-MARGIN = 3.0
+#: A place is garbled if the cheapest text is cheaper by so much, and by so large a part.
+MARGIN, PART = 3.0, 0.3
 SUSPECT = 3.5
 MOST_STATES = 300
 #: A text under this cost is not changed any further.
@@ -308,7 +309,7 @@ class Mender:
             return any(g for g, _ in parts), "".join(t for _, t in parts)
         base = max(cost, cost_of(html.unescape(place))) if escaped else cost
         best, best_cost = cheapest(place)
-        if best != place and best_cost <= base - MARGIN and not (escaped and best == html.unescape(place)):
+        if best != place and best_cost <= base - max(MARGIN, PART * base) and not (escaped and best == html.unescape(place)):
             return True, best
         return LOST in place, place
 

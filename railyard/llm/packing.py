@@ -261,7 +261,8 @@ def pack_items(sizes: DataFrame, capacities: dict[int, int], buckets: int = BUCK
 def pack_documents(documents: DataFrame, packs: DataFrame, folder: str = TOKENIZERS, buckets: int = BUCKETS, mix: bool = True) -> DataFrame:
     """All non-empty documents in containers: pack_id, container_id, place (from 1), doc_id, piece (from 0),
     first_token (in the document), n_tokens, at_token (in the container)."""
-    wanted = sorted({(r["pack_id"], r["tokenizer"], r["capacity"]) for r in packs.select("pack_id", "tokenizer", "capacity").collect() if None not in r and r["capacity"] > 0})
+    rows = [tuple(r) for r in packs.select("pack_id", "tokenizer", "capacity").distinct().collect()]
+    wanted = sorted(r for r in rows if None not in r and r[2] > 0)
     names = sorted({t for _, t, _ in wanted})
     if not names:
         return documents.sparkSession.createDataFrame([], "pack_id long, container_id long, place int, doc_id long, piece long, first_token long, n_tokens long, at_token long")
