@@ -35,10 +35,11 @@ AS_READ = ("cp1252", "latin-1", "cp437", "cp850", "mac_roman", "cp1250", "cp1251
 SWAPPED = (("cp437", "cp1252"), ("cp850", "cp1252"), ("mac_roman", "cp1252"), ("cp1252", "cp437"), ("cp1252", "cp850"), ("cp1252", "mac_roman"), ("latin-1", "cp850"), ("latin-1", "mac_roman"), ("cp1252", "cp1250"), ("cp1251", "cp1252"), ("cp1252", "cp1251"))
 #: A place is garbled if the cheapest text is cheaper by so much, and by so large a part.
 MARGIN, PART = 3.0, 0.3
-SUSPECT = 3.5
+#: A place is searched from so much above the cost of its characters on.
+SUSPECT = 1.9
 MOST_STATES = 300
-#: A text under this cost is not changed any further.
-PLAUSIBLE = 1.9
+#: A text so little above the cost of its characters is not changed any further.
+PLAUSIBLE = 0.9
 MOST_DEPTH = 5
 
 #: Letters of the languages met most, beyond ASCII.
@@ -66,7 +67,7 @@ def _kind(c: str) -> str:
         return "s"
     if 0x2500 <= n < 0x25A0:
         return "b"
-    if c in "ªºµﬁﬂˆ˜ƒ":
+    if c in "ªºµⁿﬁﬂˆ˜ƒ":
         return "m"
     category = unicodedata.category(c)
     if category[0] == "L":
@@ -123,17 +124,17 @@ def _letter_cost(c: str, before: str, after: str) -> float:
 
 
 def cost_of(text: str) -> float:
-    """Implausibility of a stretch of text; ASCII costs nothing."""
+    """Implausibility of a stretch of text; ASCII costs nothing, any other character 1 where it is in its place."""
     if text.isascii():
         return 6.0 * sum(1 for c in text if c < " " and c not in "\t\r\n\x0b\x0c")
     total = 0.0
     padded = f" {text} "
-    lone = not any(c.isascii() and c.isalnum() for c in text)
+    lone = len(text) < 10 and not any(c.isascii() and c.isalnum() for c in text)
     for i, c in enumerate(text, 1):
         k = kind(c)
         if k in "adsp":
             if k == "s" and ord(c) > 127:
-                total += 0.6
+                total += 1
             continue
         before, after = padded[i - 1], padded[i + 1]
         left, right = kind(before), kind(after)
@@ -146,27 +147,32 @@ def cost_of(text: str) -> float:
             cased = (c.islower() and after.isupper() and right == "o") or (c.isupper() and before.islower() and left == "o")
             mixed = any(kind(x) == "o" and _script(x) != _script(c) for x in (before, after))
             single = left in "sp" and right in "sp"
-            total += 0.02 + (_script(c) != "CJK") * (5 * bool(letters) + 4 * (cased or mixed) + 3 * (right in "mhq") + 1.5 * single)
+            total += 1 + (_script(c) != "CJK") * (5 * bool(letters) + 4 * (cased or mixed) + 3 * (right in "mhq") + 1.5 * single)
         elif k == "k":
-            total += 0.3 if left in "ok" else 4
+            total += 1 if left in "ok" else 4
         elif k == "q":
             inside = (letters == 2 and c != "’") or (c in "„‚" and left in "al")
-            total += 0.5 + (1 if c in "«»‹›" else 0) + 1.5 * (c == "‘" and left in "al") + 5 * inside + (2 if left in "l" and before.isupper() and before in "ÃÂÄÅĂĹÔ" else 0)
+            total += 1 + (0.5 if c in "«»‹›" else 0) + 1.5 * (c == "‘" and left in "al") + 5 * inside + (2 if left in "l" and before.isupper() and before in "ÃÂÄÅĂĹÔ" else 0)
         elif k == "h":
-            total += 0.5 + (3 if letters == 2 and c in "…·" else 0) + (2.5 if letters and c == "•" else 0) + (2 if left in "alo" and right in "alo" else 0)
+            total += 1 + (3 if letters == 2 and c in "…·" else 0) + (2.5 if letters and c == "•" else 0) + (2 if left in "alo" and right in "alo" else 0)
         elif k == "b":
-            total += 0.3 + (5 if letters or left == "o" or right == "o" else 0)
+            total += 1 + (5 if letters or left == "o" or right == "o" else 0)
         elif c in "¹²³⁴ⁿ":
-            total += 0.8 + (5 if right in "al" or (left in "al" and right == "m" and after not in "√²³") else 0)
+            total += 1 + (5 if right in "al" or (left in "al" and right == "m" and after not in "√²³") else 0)
         elif c in "°§€£$%‰µ½¼¾⅓⅔©®™":
             near = (left in "al") + (right in "al" and not (c == "°" and after in "CFKcfk") and not (c == "µ" and after in "mAsVFglH") and not (c in "©®™" and left in "sp"))
             near -= c in "®™©" and left in "al" and right in "spq"
-            total += 0.6 + 4 * max(0, near) + (3 if left == "l" and before in "ÃÂãâÄÅ" else 0)
+            total += 1 + 4 * max(0, near) + (3 if left == "l" and before in "ÃÂãâÄÅ" else 0)
         else:
-            total += 0.8 + 4.5 * letters
+            total += 1 + 4.5 * letters
     return total
 
 
+def excess(text: str) -> float:
+    """What a text costs beyond the least that its characters can cost."""
+    return cost_of(text) - sum(c > "\x7f" for c in text)
+
+
 def _sequences(encoding: str) -> tuple[re.Pattern, dict[str, int]] | None:
     """What UTF-8 sequences look like when read in an encoding, and the byte of each of its characters."""
     byte = {}
@@ -263,7 +269,7 @@ def cheapest(text: str) -> tuple[str, float]:
         states += 1
         if cost < best_cost:
             best, best_cost = at, cost
-        if depth == MOST_DEPTH or (depth and cost - path < PLAUSIBLE):
+        if depth == MOST_DEPTH or (depth and excess(at) < PLAUSIBLE):
             continue
         helped = False
         for operations in (SEQUENCES, OTHERS):
@@ -301,7 +307,7 @@ class Mender:
     def _judge(place: str) -> tuple[bool, str]:
         cost = cost_of(place)
         escaped = "&" in place and not html.unescape(place).isascii()
-        if cost < SUSPECT and not (escaped and cost_of(html.unescape(place)) >= SUSPECT):
+        if excess(place) < SUSPECT and not (escaped and excess(html.unescape(place)) >= SUSPECT):
             return False, place
         if len(place) > 400:
             # search a long place by its parts, so that the work stays in proportion
