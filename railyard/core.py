@@ -37,6 +37,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table scan in at least as many partitions as there are cores, for operators whose work is in Python.
+
+    Only a scan of fewer splits than cores (one small file) is moved; a large table is read as it lies.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def hash_unit(*cols: Column | str, seed: int = 42) -> Column:
     """A number in (0, 1) that depends on the seed and the key only, the same at every layout of the data."""
     h = F.xxhash64(F.lit(seed), *cols)

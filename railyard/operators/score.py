@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from railyard.functions.values import json_object
+
 #: Replayed calls of one episode; later ones count as an error, so an episode is bounded.
 MOST_CALLS = 64
 WRITES = ("wartung_einplanen", "crew_zuweisen", "wartung_status_setzen")
@@ -27,44 +32,48 @@ def rejected_writes(writes: DataFrame, state: DataFrame, key: list[str], order:
     return writes.join(state.select(*key, "ended_at"), key).filter(F.col(order) > F.col("ended_at"))
 
 
-def replay(calls: DataFrame, episode: str) -> DataFrame:
-    """Ordered replay of all three kinds of writes by episode, each over its own overlay of the empty world.
+def fold_writes(calls: list[dict]) -> tuple[int, int, str]:
+    """(writes done, errors, digest of the state) after an episode's calls in order, over an empty world.
 
-    calls: episode, seq, tool_name, arguments. New orders get ids in order of their making, so a fold is needed;
-    an episode is at most MOST_CALLS calls, which bounds a group. Returns state digests and counts.
+    New orders get ids in the order of their making, so this is a fold and no set operation.
+    """
+    orders: dict[str, dict] = {}
+    crew: set[tuple] = set()
+    status: dict[str, str] = {}
+    errors = done = 0
+    for n, c in enumerate(calls):
+        tool, a = c["tool_name"], json_object(c["arguments"])
+        if n >= MOST_CALLS:
+            errors += 1
+        elif tool == "wartung_einplanen" and a.get("fahrzeug_id"):
+            orders[f"WO-{1000 + len(orders)}"] = {k: a[k] for k in sorted(a)}
+            done += 1
+        elif tool == "crew_zuweisen" and (key := tuple(str(a.get(k)) for k in ("zugnummer", "mitarbeiter_id", "rolle"))) not in crew and a.get("zugnummer"):
+            crew.add(key)
+            done += 1
+        elif tool == "wartung_status_setzen" and a.get("auftrag_id") and status.get(str(a["auftrag_id"])) != "abgeschlossen":
+            status[str(a["auftrag_id"])] = str(a.get("status"))
+            done += 1
+        else:
+            errors += 1
+    state = json.dumps([orders, sorted(crew), status], sort_keys=True, ensure_ascii=False)
+    return done, errors, hashlib.sha256(state.encode()).hexdigest()[:16]
+
+
+def replay(episodes: DataFrame, episode: str, calls: str) -> DataFrame:
+    """Ordered replay of all three kinds of writes of each episode over its own overlay of the world.
+
+    ``calls`` holds the episode's calls in order as an array, so episodes are replayed where they lie, many in
+    one batch, without a group of their own. Episodes without a write are left out.
     """
-    import hashlib
-    import json
-
-    from railyard.functions.values import json_object
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        orders: dict[str, dict] = {}
-        crew: set[tuple] = set()
-        status: dict[str, str] = {}
-        errors = done = 0
-        rows = pdf.sort_values(["seq", "call_id"], kind="stable")
-        for n, (tool, arguments) in enumerate(zip(rows["tool_name"], rows["arguments"])):
-            a = json_object(arguments)
-            if n >= MOST_CALLS:
-                errors += 1
-            elif tool == "wartung_einplanen" and a.get("fahrzeug_id"):
-                orders[f"WO-{1000 + len(orders)}"] = {k: a[k] for k in sorted(a)}
-                done += 1
-            elif tool == "crew_zuweisen" and (key := (a.get("zugnummer"), a.get("mitarbeiter_id"), a.get("rolle"))) not in crew and key[0]:
-                crew.add(key)
-                done += 1
-            elif tool == "wartung_status_setzen" and a.get("auftrag_id") and status.get(a["auftrag_id"]) != "abgeschlossen":
-                status[a["auftrag_id"]] = a.get("status")
-                done += 1
-            else:
-                errors += 1
-        state = json.dumps([orders, sorted(map(str, crew)), status], sort_keys=True, ensure_ascii=False)
-        return pd.DataFrame({episode: [pdf[episode].iloc[0]], "n_done": [done], "n_errors": [errors], "state": [hashlib.sha256(state.encode()).hexdigest()[:16]]})
-
-    kind = dict(calls.dtypes)[episode]
-    writes = calls.filter(F.col("tool_name").isin(*WRITES)).select(episode, "seq", "call_id", "tool_name", "arguments")
-    return writes.groupBy(episode).applyInPandas(fold, f"{episode} {kind}, n_done int, n_errors int, state string")
+
+    @F.pandas_udf("struct<n_done int, n_errors int, state string>")
+    def run(arrays: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([fold_writes(list(a)) for a in arrays], columns=["n_done", "n_errors", "state"])
+
+    slim = F.transform(F.filter(calls, lambda c: c["tool_name"].isin(*WRITES)), lambda c: F.struct(c["tool_name"].alias("tool_name"), c["arguments"].alias("arguments")))
+    writes = episodes.select(episode, slim.alias("_w")).filter(F.size("_w") > 0)
+    return writes.select(episode, run("_w").alias("_r")).select(episode, "_r.*")
 
 
 def all_met(components: dict[str, Column]) -> Column:

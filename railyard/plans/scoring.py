@@ -38,7 +38,8 @@ def write_rejected(spark, sf):
 
 @query("write_replay_full")
 def write_replay_full(spark, sf):
-    return op.replay(calls(spark, sf), "trace_id")
+    t = table(spark, sf, "db_traces_chat").select("trace_id", sequences.ordered(F.col("tool_calls")).alias("calls"))
+    return op.replay(t, "trace_id", "calls")
 
 
 PAIRS = f"""{CALLS}, k as (select t.trace_id, t.task_id, t.sample_idx, t.finish_reason,

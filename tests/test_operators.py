@@ -207,8 +207,10 @@ def test_terminal_state(spark):
 
 def test_replay(spark):
     w = '{"zugnummer": "IC 1", "mitarbeiter_id": "MA-1", "rolle": "x"}'
-    rows = [(1, 1, "a", "crew_zuweisen", w), (1, 2, "b", "crew_zuweisen", w), (2, 1, "a", "crew_zuweisen", w), (3, 1, "a", "wartung_einplanen", '{"fahrzeug_id": "F"}'), (3, 2, "b", "fahrplan", "{}"), (4, 1, "a", "crew_zuweisen", "broken")]
-    got = {r["e"]: r for r in score.replay(spark.createDataFrame(rows, "e long, seq int, call_id string, tool_name string, arguments string"), "e").collect()}
+    rows = [(1, [("crew_zuweisen", w)] * 2), (2, [("crew_zuweisen", w)]), (3, [("wartung_einplanen", '{"fahrzeug_id": "F"}'), ("fahrplan", "{}")]), (4, [("crew_zuweisen", "broken")]), (5, []), (6, None), (7, [("crew_zuweisen", w)] * 70)]
+    df = spark.createDataFrame(rows, "e long, c array<struct<tool_name string, arguments string>>")
+    got = {r["e"]: r for r in score.replay(df, "e", "c").collect()}
+    assert set(got) == {1, 2, 3, 4, 7} and (got[7]["n_done"], got[7]["n_errors"]) == (1, 69)
     assert (got[1]["n_done"], got[1]["n_errors"]) == (1, 1) and got[1]["state"] == got[2]["state"] and got[3]["n_errors"] == 0 and got[4]["n_errors"] == 1
 
 
