@@ -24,6 +24,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from railyard.core import spread
+
 TOKENIZERS = "/opt/tokenizers"
 #: Splits a text before the merges (fixed value of the public vocabulary).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -179,5 +181,5 @@ def encode_texts(documents: DataFrame, tokenizer: str = "byte_bpe_50k", folder:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), lists], names=[id_col, "ids"])
                 at += len(texts)
 
-    slim = documents.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias(text_col))
+    slim = spread(documents).select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias(text_col))
     return slim.mapInArrow(run, f"{id_col} long, ids array<int>")

@@ -37,6 +37,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from railyard.core import spread
+
 RUN, EDIT = 20, 6
 WINDOW, STRIDE = 16, 5
 RADIUS, BLOCKS = 31, 8
@@ -279,7 +281,7 @@ def _search(chats: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(chat, pa.int64()), pa.array(item, pa.int64())], names=["chat_id", "item_id"])
 
     contents = F.filter(F.transform("messages", lambda m: m["content"]), lambda c: F.length(c) >= 2 * WINDOW)
-    slim = chats.filter("chat_id is not null").select(F.col("chat_id").cast("long").alias("chat_id"), contents.alias("texts")).filter(F.size("texts") > 0)
+    slim = spread(chats).filter("chat_id is not null").select(F.col("chat_id").cast("long").alias("chat_id"), contents.alias("texts")).filter(F.size("texts") > 0)
     return slim.mapInArrow(run, "chat_id long, item_id long")
 
 

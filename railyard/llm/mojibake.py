@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from railyard.core import spread
+
 #: Encodings in which UTF-8 bytes may have been read.
 AS_READ = ("cp1252", "latin-1", "cp437", "cp850", "mac_roman", "cp1250", "cp1251", "cp852", "iso8859-2", "iso8859-15", "cp1253", "cp1254", "cp1257", "koi8-r", "cp866")
 #: (read as, was) for texts of one byte a character.
@@ -353,5 +355,5 @@ def find_garbled(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
             types = [pa.int64(), pa.int32(), pa.int32(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=[id_col, "n_places", "n_unrestored", "restored"])
 
-    slim = documents.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias(text_col)).filter(F.col(text_col).rlike(r"[^\x00-\x7f]|&[A-Za-z#]"))
+    slim = spread(documents).select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias(text_col)).filter(F.col(text_col).rlike(r"[^\x00-\x7f]|&[A-Za-z#]"))
     return slim.mapInArrow(run, f"{id_col} long, n_places int, n_unrestored int, restored string")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from railyard.core import checkpointed
+from railyard.core import checkpointed, spread
 from railyard.llm.encode import TOKENIZERS, Encoder, shared_table, slices
 
 BUCKETS = 256
@@ -54,7 +54,7 @@ def token_counts(documents: DataFrame, tokenizers: list[str], folder: str = TOKE
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), *counts], names=names)
                 at += len(texts)
 
-    slim = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("length(text) > 0")
+    slim = spread(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("length(text) > 0")
     return slim.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 

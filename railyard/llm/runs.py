@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from railyard.core import spread
+
 RUN = re.compile(r"(.)\1+", re.S)
 RUN_OR_ONE = re.compile(r"(.)\1*", re.S)
 NUMBER = re.compile(r"[+-]?(?:0|[1-9]\d*)(?:\.\d+)?")
@@ -156,7 +158,7 @@ def collapse_runs(traces: DataFrame, min_calls: int = 2) -> DataFrame:
     ``seq`` are set aside by built-in functions before anything reaches Python.
     """
     calls = F.col("tool_calls")
-    slim = traces.select(
+    slim = spread(traces).select(
         F.col("trace_id").cast("long").alias("trace_id"),
         F.transform(
             calls,
