@@ -73,7 +73,7 @@ def per_class_limit(spark, sf):
 
 
 @query("round_robin_pick", f"""with {TASKS}, r as (select task_no, template, row_number() over (partition by template order by task_no) as turn from tasks)
-select task_no, template, turn from r order by turn, template, task_no limit 100""")
+select task_no, template, turn::int as turn from r order by turn, template, task_no limit 100""")
 def round_robin_pick(spark, sf):
     return op.round_robin(tasks(spark, sf).select("task_no", "template"), "template", "task_no", 100)
 
