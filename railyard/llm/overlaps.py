@@ -48,6 +48,8 @@ WORD_SHARE, TALK_SHARE = 0.0002, 0.01
 #: Two words are alternatives of one slot where the rarer has at least this part of the other's frequency.
 RIVAL = 0.1
 LEAST_ALIKE = 0.7
+#: Share of its words that a sentence has in common with a frequent one where it is that one, reworded.
+TALK_ALIKE = 0.5
 
 MONTHS = {name: i % 12 + 1 for i, name in enumerate(
     "januar februar maerz april mai juni juli august september oktober november dezember "
@@ -125,7 +127,7 @@ class Talk:
             return True
         if sentence not in self.known:
             words = frozenset(sentence.split())
-            self.known[sentence] = not any(map(has_number, words)) and any(len(words & b) >= 0.6 * max(len(words), len(b)) for b in self.bags)
+            self.known[sentence] = not any(map(has_number, words)) and any(len(words & b) >= TALK_ALIKE * max(len(words), len(b)) for b in self.bags)
             if len(self.known) > 200_000:
                 self.known.clear()
                 return self.is_talk(sentence)
