@@ -12,7 +12,8 @@ form one class, and only classes are joined, so a group of copies costs one row
 Verification: small talk (sentences that are frequent in the corpus, also with slips) and greetings are set
 aside; the values must be equal; the words are aligned, slips of the pen are matched, and a replaced word
 counts as a changed value where both words are about equally frequent, as the alternatives of one slot are
-(a slip or a synonym is far rarer than the word it stands for). Frequent words and sentences are bounded
+(a slip or a synonym is far rarer than the word it stands for; of two rare words that differ by a slip, one may be
+the other's slip, but not where names and codes stand). Frequent words and sentences are bounded
 tables: at most (mean words) / SHARE of them can reach a share of the corpus.
 
 Defined cases
@@ -37,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railyard.core import checkpointed, clean_label
+from railyard.core import bound, checkpointed, clean_label
 
 TRAIN = "sft_train"
 EVAL = ("heldout_eval", "sft_val", "rl_val")
@@ -192,10 +193,11 @@ def slip(a: str, b: str, most: int = 2) -> bool:
 
 
 class Verifier:
-    """Decides whether two tickets make the same request. frequency: tickets per frequent word; least: below that none is known."""
+    """Decides whether two tickets make the same request. frequency: tickets per frequent word; least: below that none is known;
+    naming: frequent words after which a rare one stands as a rule, so that it is a name or code."""
 
-    def __init__(self, frequency: dict[str, int], least: float):
-        self.frequency, self.least = frequency, max(1.0, least)
+    def __init__(self, frequency: dict[str, int], least: float, naming: frozenset[str] = frozenset()):
+        self.frequency, self.least, self.naming = frequency, max(1.0, least), naming
         self.slips: dict[str, str] = {}
 
     def rivals(self, a: str, b: str) -> bool:
@@ -203,6 +205,11 @@ class Verifier:
         x, y = (min(self.frequency.get(w, self.least / 2) for w in p.split()) for p in (a, b))
         return min(x, y) >= RIVAL * max(x, y)
 
+    def may_be_slip(self, x: str, y: str, before: str) -> bool:
+        """Whether a difference of x and y may be a slip: not where both are alternatives of one slot, unless both are rare and no name stands there."""
+        rare = x not in self.frequency and y not in self.frequency and min(len(x), len(y)) > 3
+        return not self.rivals(x, y) or (rare and before not in self.naming)
+
     def mended(self, words: list[str], other: set[str]) -> list[str]:
         """``words`` with rare ones that the other side lacks read as the frequent word of which they are a slip."""
         return [self.mend(w) if w not in self.frequency and w not in other else w for w in words]
@@ -229,7 +236,7 @@ class Verifier:
         # slips: the word of one side that stands for one of the other
         for y in list(only_right):
             for x in list(only_left):
-                if only_left[x] and only_right[y] and not self.rivals(x, y) and slip(x, y):
+                if only_left[x] and only_right[y] and slip(x, y) and self.may_be_slip(x, y, left[left.index(x) - 1] if left.index(x) else ""):
                     right[right.index(y)] = x
                     only_left[x] -= 1
                     only_right[y] -= 1
@@ -280,6 +287,19 @@ def _frequent(values: DataFrame, least: float) -> list:
     return values.groupBy("value").agg(F.count("*").alias("n")).filter(F.col("n") >= F.lit(least)).collect()
 
 
+def _naming(rows: DataFrame, known: dict[str, int]) -> frozenset[str]:
+    """Frequent words followed by a rare word more often than not; at most as many as there are frequent words."""
+    if not known:
+        return frozenset()
+    frequent = F.broadcast(rows.sparkSession.createDataFrame([(w,) for w in known], "word string"))
+    words = F.filter(F.split("core", " "), lambda w: ~w.rlike(r"\d$"))
+    pairs = bound(words, lambda w: F.transform(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), lambda x, i: F.struct(x.alias("before"), F.get(w, i + 1).alias("word"))))
+    n = rows.select(F.explode(pairs).alias("p")).groupBy("p.before", "p.word").agg(F.count("*").alias("n"))
+    n = n.join(frequent.withColumnRenamed("word", "before"), "before", "left_semi").join(frequent.withColumn("known", F.lit(True)), "word", "left")
+    share = n.groupBy("before").agg(F.sum("n").alias("all"), F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(0)).alias("rare"))
+    return frozenset(r["before"] for r in share.filter("2 * rare > all").collect())
+
+
 def classes_of(tasks: DataFrame) -> tuple[DataFrame, DataFrame, Verifier]:
     """(members: task_no, class_id; classes: class_id, core, template, is_train, is_eval, s0..s3; the verifier)."""
     rows = checkpointed(_sentences(tasks))
@@ -299,7 +319,8 @@ def classes_of(tasks: DataFrame) -> tuple[DataFrame, DataFrame, Verifier]:
     rows = checkpointed(rows.withColumn("class_id", F.sha2(F.concat_ws("\x00", F.coalesce(F.concat(F.lit("t"), F.col("template")), F.lit("n")), "core"), 256)))
     words = rows.select(F.explode(F.array_distinct(F.split("core", " "))).alias("value")).filter(~F.col("value").rlike(r"\d$"))
     least = max(1.0, WORD_SHARE * n)
-    verifier = Verifier({r["value"]: r["n"] for r in _frequent(words, least)}, least)
+    known = {r["value"]: r["n"] for r in _frequent(words, least)}
+    verifier = Verifier(known, least, _naming(rows, known))
 
     @F.pandas_udf("array<long>")
     def segments(cores: pd.Series) -> pd.Series:
@@ -325,7 +346,7 @@ def overlap_classes(classes: DataFrame, verifier: Verifier) -> DataFrame:
     cores = classes.select("class_id", "core")
     pairs = near.join(cores.select(F.col("class_id").alias("train_class"), F.col("core").alias("x")), "train_class")
     pairs = pairs.join(cores.select(F.col("class_id").alias("eval_class"), F.col("core").alias("y")), "eval_class")
-    shared = classes.sparkSession.sparkContext.broadcast((verifier.frequency, verifier.least))
+    shared = classes.sparkSession.sparkContext.broadcast((verifier.frequency, verifier.least, verifier.naming))
 
     @F.pandas_udf("boolean")
     def same(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
