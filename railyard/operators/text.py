@@ -80,6 +80,16 @@ def looks_german(col: Column) -> Column:
     return (german_words(col) >= 2) | col.rlike("[äöüÄÖÜß]")
 
 
+#: Between words of any script; and the German words in either case. Both mean the same to every engine, which ``\b`` and ``(?i)`` do not.
+NO_WORD = r"[^\p{L}\p{M}\p{N}_]+"
+GERMAN_WORD = "^(?:" + "".join(c if c == "|" else f"[{c}{c.upper()}]" for c in GERMAN) + ")$"
+
+
+def german_words_whole(col: Column) -> Column:
+    """German function words that are whole words, in texts of any script: the end of Bäder is none."""
+    return F.size(F.filter(F.split(col, NO_WORD), lambda w: w.rlike(GERMAN_WORD)))
+
+
 def containment(corpus: DataFrame, text: Column, key: str, needles: DataFrame, needle_key: str, needle: Column, least: int = 30) -> DataFrame:
     """(key, needle_key) of needles of at least ``least`` characters that occur in a text, both collapsed.
 

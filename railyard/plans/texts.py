@@ -102,6 +102,15 @@ def language_proxy(spark, sf):
     return d.select("doc_id", op.german_words(F.col("text")).alias("german_words"), op.looks_german(F.col("text")).alias("looks_german"))
 
 
+@query("language_proxy_full", f"""select doc_id, len(list_filter(regexp_split_to_array(text, '{op.NO_WORD}'), lambda w: regexp_matches(w, '{op.GERMAN_WORD}')))::int as german_words,
+  len(list_filter(regexp_split_to_array(text, '{op.NO_WORD}'), lambda w: regexp_matches(w, '{op.GERMAN_WORD}'))) >= 2 or regexp_matches(text, '[äöüÄÖÜß]') as looks_german
+from documents where text is not null""")
+def language_proxy_full(spark, sf):
+    """Every text, whatever its script."""
+    d = table(spark, sf, "documents").filter("text is not null").select("doc_id", "text", op.german_words_whole(F.col("text")).alias("german_words"))
+    return d.select("doc_id", "german_words", ((F.col("german_words") >= 2) | F.col("text").rlike("[äöüÄÖÜß]")).alias("looks_german"))
+
+
 @query("think_strip", """with t as (select doc_id, '<think>' || left(text, 40) || '</think> ' || substr(text, 41, 60) || '[THINK]x[/THINK]' || substr(text, 101, 20) || case when doc_id % 3 = 0 then '</think>' || right(text, 10) else '' end as raw
   from documents where text is not null),
 s as (select doc_id, regexp_replace(regexp_replace(raw, '<(?:seed:)?think>.*?</(?:seed:)?think>\\s*', '', 'gs'), '\\[THINK\\].*?\\[/THINK\\]\\s*', '', 'gs') as s from t)
