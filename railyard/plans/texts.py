@@ -121,6 +121,18 @@ def think_strip(spark, sf):
     return d.select("doc_id", op.strip_reasoning(raw).alias("plain"))
 
 
+@query("think_strip_full", """with t as (select doc_id, text, length(text) // 4 as k from documents where text is not null),
+m as (select doc_id, '<think>' || substr(text, 1, k) || '</think> ' || substr(text, k + 1, k) || '[THINK]' || substr(text, 2 * k + 1, k) || '[/THINK]' || substr(text, 3 * k + 1)
+  || case when doc_id % 3 = 0 then '</think>' || text else '' end as raw from t),
+s as (select doc_id, regexp_replace(regexp_replace(raw, '<(?:seed:)?think>.*?</(?:seed:)?think>[\\t\\n\\x0b\\f\\r ]*', '', 'gs'), '\\[THINK\\].*?\\[/THINK\\][\\t\\n\\x0b\\f\\r ]*', '', 'gs') as s from m)
+select doc_id, trim(list_extract(string_split(s, '</think>'), -1), ' ') as plain from s""")
+def think_strip_full(spark, sf):
+    """Every character of every text, in quarters: reasoning, answer, reasoning, answer; each third text once more after a lost closing mark."""
+    d = table(spark, sf, "documents").filter("text is not null").select("doc_id", "text", F.expr("length(text) div 4").cast("int").alias("k"))
+    raw = F.expr("concat('<think>', substr(text, 1, k), '</think> ', substr(text, k + 1, k), '[THINK]', substr(text, 2 * k + 1, k), '[/THINK]', substr(text, 3 * k + 1), case when doc_id % 3 = 0 then concat('</think>', text) else '' end)")
+    return d.select("doc_id", op.strip_reasoning(raw).alias("plain"))
+
+
 @query("leak_markers", f"""with {MESSAGES},
 m as (select chat_id, max(case when contains(content, 'policy') then 1 else 0 end) = 1 as leak, count(*) filter (role = 'assistant') as agent_turns,
   sum(len(string_split(content, 'order ')) - 1)::bigint as order_marks from messages group by chat_id)

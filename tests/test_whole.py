@@ -13,3 +13,15 @@ def test_language_of_every_text(spark, tmp_path):
     got = run(spark, tmp_path, "language_proxy_full", "documents", list(enumerate(texts)), "doc_id long, text string")
     want = [(0, 2, True), (1, 1, True), (2, 2, True), (3, 2, True), (4, 0, False), (5, 1, False), (6, 0, False), (8, 0, False)]
     assert sorted(got) == want
+
+
+def test_reasoning_of_whole_texts(spark, tmp_path):
+    texts = ["a" * 500 + "b" * 500 + "c" * 500 + "d" * 500, "abc\n" * 3000, "kurz", "", None, "é" * 9, "x y " * 50]
+    got = run(spark, tmp_path, "think_strip_full", "documents", list(enumerate(texts)), "doc_id long, text string")
+    want = []
+    for i, t in enumerate(texts):
+        if t is not None:
+            k = len(t) // 4
+            blank = "\t\n\v\f\r "
+            want.append((i, (t if i % 3 == 0 else t[k : 2 * k].lstrip(blank) + t[3 * k :].lstrip(blank)).strip(" ")))
+    assert sorted(got) == want
