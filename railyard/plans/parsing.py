@@ -28,6 +28,20 @@ def tool_call_extract(spark, sf):
     return spark.sql("select trace_id, x.pos, x.name from railyard_calls_text, lateral extract_calls(text) x")
 
 
+@query("tool_call_extract_full", f"""with {CALLS}
+select trace_id, (row_number() over (partition by trace_id order by seq, call_id) - 1)::int as pos, tool_name as name from calls where json_valid(arguments)""")
+def tool_call_extract_full(spark, sf):
+    """All calls of a trace, those with broken arguments too, which the parser has to skip."""
+    from railyard.functions.tables import register
+
+    register(spark)
+    block = lambda c: F.concat(F.lit('<tool_call>{"name": "'), c["tool_name"], F.lit('", "arguments": '), c["arguments"], F.lit("}</tool_call>"))
+    t = table(spark, sf, "db_traces_chat").select("trace_id", F.array_sort(F.transform(F.array_distinct("tool_calls"), lambda c: F.struct(c["seq"].alias("seq"), c["call_id"].alias("call_id"), block(c).alias("b")))).alias("a"))
+    t = t.select("trace_id", F.concat(F.lit("Ich sehe nach. "), F.array_join(F.transform("a", lambda x: x["b"]), "\n")).alias("text"))
+    t.createOrReplaceTempView("railyard_all_calls_text")
+    return spark.sql("select trace_id, x.pos, x.name from railyard_all_calls_text, lateral extract_calls(text) x")
+
+
 @query("bracket_dsl", f"""with {CALLS}
 select trace_id, seq, tool_name as name, json_extract_string(arguments, '$.zugnummer') as zug from calls where tool_name = 'fahrplan' and json_valid(arguments) and json_extract_string(arguments, '$.zugnummer') is not null
   and not contains(json_extract_string(arguments, '$.zugnummer'), '"')""")
@@ -43,6 +57,23 @@ def bracket_dsl(spark, sf):
     return got.select("trace_id", "seq", "p.name", F.get_json_object("p.arguments", "$.zugnummer").alias("zug"))
 
 
+@query("bracket_dsl_full", f"""with {CALLS}
+select trace_id, seq, tool_name as name, json_extract_string(arguments, '$.zugnummer') as zug from calls where tool_name = 'fahrplan' and json_valid(arguments) and json_extract_string(arguments, '$.zugnummer') is not null""")
+def bracket_dsl_full(spark, sf):
+    """Values with quotes and backslashes too, written as JSON writes them."""
+
+    @F.pandas_udf("array<struct<name string, arguments string>>")
+    def parse(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: bracket_calls(t) if t is not None else None)
+
+    zug = F.get_json_object("arguments", "$.zugnummer")
+    c = calls(spark, sf).filter("tool_name = 'fahrplan'").filter(F.try_parse_json("arguments").isNotNull()).filter(zug.isNotNull())
+    quoted = F.regexp_extract(F.to_json(F.array(zug)), r"(?s)^\[(.*)\]$", 1)
+    text = F.concat(F.lit("[fahrplan(zugnummer="), quoted, F.lit(', tage=[1, (2)], art="a,b)")]'))
+    got = c.select("trace_id", "seq", F.explode(parse(text)).alias("p"))
+    return got.select("trace_id", "seq", "p.name", F.get_json_object("p.arguments", "$.zugnummer").alias("zug"))
+
+
 @query("canonical_arguments")
 def canonical_arguments(spark, sf):
     """One form of each argument object; how many spellings share it."""

@@ -1,5 +1,7 @@
 """Queries that leave no row out: each against a plain version of it over a small folder."""
 
+import json
+
 from railyard.plans import registry
 
 
@@ -25,3 +27,22 @@ def test_reasoning_of_whole_texts(spark, tmp_path):
             blank = "\t\n\v\f\r "
             want.append((i, (t if i % 3 == 0 else t[k : 2 * k].lstrip(blank) + t[3 * k :].lstrip(blank)).strip(" ")))
     assert sorted(got) == want
+
+
+CALLS = "trace_id long, tool_calls array<struct<seq int, call_id string, tool_name string, arguments string>>"
+
+
+def test_all_calls_of_a_trace(spark, tmp_path):
+    many = [(i, f"c{i}", f"f{i}", '{"a": 1}') for i in range(1, 6)]
+    traces = [(1, many[::-1]), (2, [many[0], (2, "x", "g", '{"kennung": "ICE 75'), many[3], many[3]]), (3, []), (4, None)]
+    extra = ", called_at timestamp, took_ms int>>"
+    rows = [(t, None if c is None else [(*x, None, None) for x in c]) for t, c in traces]
+    got = run(spark, tmp_path, "tool_call_extract_full", "db_traces_chat", rows, CALLS.replace(">>", extra))
+    assert sorted(got) == [(1, i - 1, f"f{i}") for i in range(1, 6)] + [(2, 0, "f1"), (2, 1, "f4")]
+
+
+def test_quotes_in_the_bracket_form(spark, tmp_path):
+    zug = ["IC 1", 'IC "2"', "IC \\3", '4", x="(', "5\n6", "ü)]", "'"]
+    rows = [(i, [(1, "c", "fahrplan", json.dumps({"zugnummer": z}))]) for i, z in enumerate(zug)]
+    got = run(spark, tmp_path, "bracket_dsl_full", "db_traces_chat", rows, CALLS)
+    assert sorted(got) == [(i, 1, "fahrplan", z) for i, z in enumerate(zug)]
