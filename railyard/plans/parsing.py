@@ -119,3 +119,22 @@ def segment_episode(spark, sf):
     text = F.array_join(F.transform("messages", lambda m: F.concat(F.lit("<|"), m["role"], F.lit("|>"), m["content"])), "\n")
     c.select("chat_id", text.alias("text")).createOrReplaceTempView("railyard_episode_text")
     return spark.sql("select chat_id, x.pos, x.role, x.content from railyard_episode_text, lateral segment_episode(text) x")
+
+
+#: How a call without a name stands in a text.
+CALL = '<tool_call>{"name": "call"}</tool_call>'
+
+
+@query("segment_episode_full")
+def segment_episode_full(spark, sf):
+    """All chats with messages, tool answers bound to the calls that wait for them. A call is an assistant message without content, as in
+    ``bind_results``; it stands in the text as a tagged block."""
+    from railyard.functions.tables import register
+
+    register(spark)
+    content = lambda m: F.coalesce(m["content"], F.lit(""))
+    is_call = lambda m: (m["role"] == "assistant") & ~content(m).rlike(r"(?U)\S")
+    turn = lambda m: F.concat(F.lit("<|"), m["role"], F.lit("|>"), F.when(is_call(m), F.lit(CALL)).otherwise(content(m)))
+    c = table(spark, sf, "areal_chat").filter(F.size("messages") > 0)
+    c.select("chat_id", F.array_join(F.transform("messages", turn), "\n").alias("text")).createOrReplaceTempView("railyard_whole_episode_text")
+    return spark.sql("select chat_id, x.pos, x.role, x.content, x.call_id from railyard_whole_episode_text, lateral segment_episode(text) x")

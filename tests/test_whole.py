@@ -2,7 +2,7 @@
 
 import json
 
-from railyard.plans import registry
+from railyard.plans import parsing, registry
 
 
 def run(spark, folder, name, table, rows, schema):
@@ -46,3 +46,40 @@ def test_quotes_in_the_bracket_form(spark, tmp_path):
     rows = [(i, [(1, "c", "fahrplan", json.dumps({"zugnummer": z}))]) for i, z in enumerate(zug)]
     got = run(spark, tmp_path, "bracket_dsl_full", "db_traces_chat", rows, CALLS)
     assert sorted(got) == [(i, 1, "fahrplan", z) for i, z in enumerate(zug)]
+
+
+def plain_segments(messages):
+    """segment_episode by a walk over the messages."""
+    out, waiting, n = [], None, 0
+    for role, content in messages:
+        content = (content or "").strip()
+        if role == "tool":
+            if waiting:
+                out.append((role, content, waiting))
+            waiting = None
+            continue
+        if role == "assistant":
+            waiting = None
+            if not content:
+                n, content = n + 1, parsing.CALL
+                waiting = f"call_{n}"
+        out.append((role, content, None))
+    return [(i, *x) for i, x in enumerate(out)]
+
+
+def test_segments_of_all_chats(spark, tmp_path):
+    chats = [
+        [("system", " trim me\n"), ("user", "q {a} [b]"), ("assistant", None), ("tool", "r1"), ("tool", "dropped"), ("assistant", "done")],
+        [("tool", "nobody waits"), ("user", ""), ("assistant", " "), ("user", "between"), ("tool", "[1]"), ("assistant", ""), ("assistant", "no"), ("tool", "x")],
+        [("assistant", ""), ("assistant", ""), ("tool", "late")],
+        [("user", "plain")],
+    ]
+    got = run(spark, tmp_path, "segment_episode_full", "areal_chat", [*enumerate(chats), (9, []), (8, None)], "chat_id long, messages array<struct<role string, content string>>")
+    assert sorted(got, key=lambda r: r[:2]) == [(i, *x) for i, c in enumerate(chats) for x in plain_segments(c)]
+
+
+def test_segments_of_the_smallest_data(spark, small):
+    rows = spark.read.parquet(f"{small}/areal_chat.parquet").select("chat_id", "messages").collect()
+    want = [(r["chat_id"], *x) for r in rows for x in plain_segments(r["messages"] or [])]
+    got = [tuple(r) for r in registry.queries()["segment_episode_full"](spark, small).collect()]
+    assert sorted(got, key=lambda r: r[:2]) == sorted(want, key=lambda r: r[:2])
