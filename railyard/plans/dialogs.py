@@ -93,6 +93,16 @@ def dependency_closure(spark, sf):
     return op.closure(i, "o_orderkey", "needs")
 
 
+@query("dependency_closure_full", """with i as (select o_orderkey, o_custkey as place, [o_orderkey - 1, o_orderkey // 2] as needs from orders where o_orderstatus = 'P'),
+e as (select unnest(list_append(needs, o_orderkey)) as o_orderkey, place from i)
+select o_orderkey, min(place) as place from e group by o_orderkey""")
+def dependency_closure_full(spark, sf):
+    """Over all orders of status P."""
+    key = F.col("o_orderkey")
+    i = table(spark, sf, "orders").filter("o_orderstatus = 'P'").select("o_orderkey", F.col("o_custkey").alias("place"), F.array(key - 1, F.expr("o_orderkey div 2")).alias("needs"))
+    return op.closure(i, "o_orderkey", "needs")
+
+
 @query("balanced_pairs", """with m as (select distinct l_partkey, l_orderkey from lineitem), r as (select *, row_number() over (partition by l_partkey order by l_orderkey) as k from m),
 p as (select l_partkey, max(l_orderkey) filter (k = 1) as a, max(l_orderkey) filter (k = 2) as b from r where k <= 2 group by l_partkey having count(*) = 2),
 f as (select p.*, x.o_orderstatus = y.o_orderstatus as same from p join orders x on x.o_orderkey = a join orders y on y.o_orderkey = b),
@@ -175,6 +185,17 @@ def delay_overlay(spark, sf):
     return world.worst(x, "k", "l_linenumber", "l_quantity").select("k.episode", "k.l_orderkey", "at_seq", "delay")
 
 
+@query("delay_overlay_full", f"""with {STOPS}, o as (select coalesce(l_returnflag, '?') as episode, l_orderkey, l_linenumber, l_quantity + 900.0 as late from stops),
+x as (select t.episode, s.l_orderkey, s.l_linenumber, coalesce(o.late, s.l_quantity) as q from stops s join (select distinct episode, l_orderkey from o) t using (l_orderkey) left join o on o.episode = t.episode and o.l_orderkey = s.l_orderkey and o.l_linenumber = s.l_linenumber)
+select episode, l_orderkey, arg_max(l_linenumber, (q, -l_linenumber)) as at_seq, max(q)::double as delay from x group by all""")
+def delay_overlay_full(spark, sf):
+    """Over all trips: an episode for each return flag, in which the stops with that flag are late."""
+    base = stops(spark, sf).select("l_orderkey", "l_linenumber", "l_quantity", F.coalesce("l_returnflag", F.lit("?")).alias("episode"))
+    over = base.select("episode", "l_orderkey", "l_linenumber", (F.col("l_quantity") + 900.0).alias("l_quantity"))
+    x = op.overlaid(base.drop("episode"), over, ["l_orderkey", "l_linenumber"], "episode", "l_quantity").withColumn("k", F.struct("episode", "l_orderkey"))
+    return world.worst(x, "k", "l_linenumber", "l_quantity").select("k.episode", "k.l_orderkey", "at_seq", "delay")
+
+
 @query("write_asserts", f"""with {CALLS},
 w as (select distinct trace_id, json_extract_string(arguments, '$.auftrag_id') as auftrag, json_extract_string(arguments, '$.status') as status from calls where tool_name = 'wartung_status_setzen' and json_valid(arguments)),
 k as (select task_id, arg_min(kind, exported_at) as kind from db_tasks group by task_id)

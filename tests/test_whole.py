@@ -83,3 +83,20 @@ def test_segments_of_the_smallest_data(spark, small):
     want = [(r["chat_id"], *x) for r in rows for x in plain_segments(r["messages"] or [])]
     got = [tuple(r) for r in registry.queries()["segment_episode_full"](spark, small).collect()]
     assert sorted(got, key=lambda r: r[:2]) == sorted(want, key=lambda r: r[:2])
+
+
+def test_closure_of_all_orders(spark, tmp_path):
+    orders = [(k, "P" if k % 2 else "F", k * 10) for k in range(101, 111)]
+    got = run(spark, tmp_path, "dependency_closure_full", "orders", orders, "o_orderkey long, o_orderstatus string, o_custkey long")
+    want = {}
+    for k, status, place in orders:
+        for x in (k - 1, k // 2, k) if status == "P" else ():
+            want[x] = min(place, want.get(x, place))
+    assert sorted(got) == sorted(want.items())
+
+
+def test_overlay_of_all_trips(spark, tmp_path):
+    stops = [(k, n, 1, 1, float(n), 1.0, 0.0, 0.0, "R" if n == 1 else "N", "O", None) for k in (3, 50, 99) for n in (1, 2, 3)]
+    columns = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    got = run(spark, tmp_path, "delay_overlay_full", "lineitem", stops, columns)
+    assert sorted(got) == sorted((e, k, n, 900.0 + n) for k in (3, 50, 99) for e, n in (("R", 1), ("N", 3)))
