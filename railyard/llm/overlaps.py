@@ -44,7 +44,7 @@ TRAIN = "sft_train"
 EVAL = ("heldout_eval", "sft_val", "rl_val")
 RADIUS = 3
 SEGMENTS = 4
-#: Share of the tickets from which on a word, and a sentence, is frequent.
+#: Share of the distinct tickets from which on a word, and a sentence, is frequent.
 WORD_SHARE, TALK_SHARE = 0.0002, 0.01
 #: Two words are alternatives of one slot where the rarer has at least this part of the other's frequency.
 RIVAL = 0.1
@@ -303,8 +303,8 @@ def _naming(rows: DataFrame, known: dict[str, int]) -> frozenset[str]:
 def classes_of(tasks: DataFrame) -> tuple[DataFrame, DataFrame, Verifier]:
     """(members: task_no, class_id; classes: class_id, core, template, is_train, is_eval, s0..s3; the verifier)."""
     rows = checkpointed(_sentences(tasks))
-    n = rows.count()
-    frequent = _frequent(rows.select(F.explode(F.array_distinct("sentences")).alias("value")), max(3.0, TALK_SHARE * n))
+    distinct = rows.select("sentences").distinct()  # a ticket counts once, however many copies it has
+    frequent = _frequent(distinct.select(F.explode(F.array_distinct("sentences")).alias("value")), max(3.0, TALK_SHARE * distinct.count()))
     talk = [r["value"] for r in frequent if not any(map(has_number, r["value"].split()))]
     sc = rows.sparkSession.sparkContext
     talk_b = sc.broadcast(talk)
@@ -317,10 +317,11 @@ def classes_of(tasks: DataFrame) -> tuple[DataFrame, DataFrame, Verifier]:
 
     rows = rows.withColumn("core", core("sentences")).drop("sentences")
     rows = checkpointed(rows.withColumn("class_id", F.sha2(F.concat_ws("\x00", F.coalesce(F.concat(F.lit("t"), F.col("template")), F.lit("n")), "core"), 256)))
-    words = rows.select(F.explode(F.array_distinct(F.split("core", " "))).alias("value")).filter(~F.col("value").rlike(r"\d$"))
-    least = max(1.0, WORD_SHARE * n)
+    cores = rows.select("core").distinct()
+    words = cores.select(F.explode(F.array_distinct(F.split("core", " "))).alias("value")).filter(~F.col("value").rlike(r"\d$"))
+    least = max(1.0, WORD_SHARE * cores.count())
     known = {r["value"]: r["n"] for r in _frequent(words, least)}
-    verifier = Verifier(known, least, _naming(rows, known))
+    verifier = Verifier(known, least, _naming(cores, known))
 
     @F.pandas_udf("array<long>")
     def segments(cores: pd.Series) -> pd.Series:

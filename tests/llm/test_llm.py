@@ -189,6 +189,15 @@ def test_overlaps(spark):
     assert overlaps.overlap_pairs(tasks.limit(0), splits).count() == 0 and overlaps.overlap_pairs(tasks, splits.limit(0)).count() == 0
 
 
+def test_copies_make_no_small_talk(spark):
+    ticket = "Wartung {} am {:02d}.01.2026 ist gemeldet. Setze den Status bitte auf {} und bestätige mir das Werk Lindenrain."
+    texts = {1: ticket.format(4711, 9, "geplant"), 2: ticket.format(4711, 9, "erledigt"), 3: ticket.format(4711, 9, "geplant")}
+    texts |= {10 + i: ticket.format(5000, 7, "geplant") for i in range(40)} | {100 + i: f"Bei IC {1000 + i} fehlt am {1 + i % 28:02d}.02.2026 ein Techniker." for i in range(60)}
+    tasks = spark.createDataFrame([(n, f"k{n}", t, "a", "w", T0) for n, t in texts.items()], "task_no long, task_id string, ticket string, template string, source string, exported_at timestamp_ntz")
+    splits = spark.createDataFrame([("sft_val" if n in (2, 3) else "sft_train", f"k{n}") for n in texts], "split string, task_id string")
+    assert {tuple(r) for r in overlaps.overlap_pairs(tasks, splits).collect()} == {(1, 3)}
+
+
 @pytest.mark.parametrize("text, want", [("am 9.1.2026", "D20260109"), ("2026-01-09", "D20260109"), ("9. Januar 2026", "D20260109"), ("January 9, 2026", "D20260109"), ("um 8.39 Uhr", "T0839"), ("8 Uhr", "T0800"), ("3:05 pm", "T1505"), ("08:39", "T0839")])
 def test_dates_and_times(text, want):
     assert want in overlaps.tokens_of(overlaps.canonical(text))
