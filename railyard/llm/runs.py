@@ -154,8 +154,8 @@ def _collapse(batches: Iterator[pa.RecordBatch], pattern: re.Pattern) -> Iterato
 def collapse_runs(traces: DataFrame, min_calls: int = 2) -> DataFrame:
     """Runs of at least ``min_calls`` (1 or 2) equal neighbours in ``tool_calls``, one row each.
 
-    Row-local: no shuffle. With ``min_calls=2`` traces that hold no two calls of one tool at neighbouring
-    ``seq`` are set aside by built-in functions before anything reaches Python.
+    Row-local: no shuffle. With ``min_calls=2`` traces whose calls are numbered without gap or repeat and hold no two
+    calls of one tool at neighbouring ``seq`` are set aside by built-in functions before anything reaches Python.
     """
     calls = F.col("tool_calls")
     slim = spread(traces).select(
@@ -169,9 +169,15 @@ def collapse_runs(traces: DataFrame, min_calls: int = 2) -> DataFrame:
         ).alias("tool_calls"),
     ).filter(F.size("tool_calls") >= min_calls)
     if min_calls > 1:
-        key = lambda c, d: F.concat_ws("\x00", (c["seq"] + d).cast("string"), F.coalesce(c["tool_name"], F.lit("\x01")))
-        seqs = F.array_distinct(F.transform("tool_calls", lambda c: c["seq"]))
-        regular = (F.array_max(seqs) == F.size(seqs)) & (F.size("tool_calls") == F.size(seqs))
+        # only where seqs are without null, repeat or gap and call_ids without repeat are neighbours by seq exactly those
+        # one apart; every other trace goes on unseen
+        key = lambda c, d: F.concat_ws("\x00", (c["seq"].cast("long") + d).cast("string"), F.coalesce(c["tool_name"], F.lit("\x01")))
+        seqs = F.transform("tool_calls", lambda c: c["seq"].cast("long"))
+        ids = F.filter(F.transform("tool_calls", lambda c: c["call_id"]), lambda x: x.isNotNull())
+        regular = (
+            F.forall(seqs, lambda x: x.isNotNull()) & (F.size(F.array_distinct(seqs)) == F.size(seqs)) & (F.array_max(seqs) - F.array_min(seqs) + 1 == F.size(seqs))
+            & (F.size(F.array_distinct(ids)) == F.size(ids))
+        )
         beside = F.arrays_overlap(F.transform("tool_calls", lambda c: key(c, 0)), F.transform("tool_calls", lambda c: key(c, 1)))
         slim = slim.filter(beside | ~F.coalesce(regular, F.lit(False)))
     pattern = RUN if min_calls > 1 else RUN_OR_ONE

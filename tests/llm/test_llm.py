@@ -243,6 +243,23 @@ def test_runs_against_brute_force(spark):
     assert runs.collapse_runs(df.limit(0)).count() == 0
 
 
+def test_runs_of_irregular_numbering(spark):
+    """Gaps, a start at 0, repeated seqs and repeated call_ids: with 1 or 2 calls at least, the runs are the same."""
+    call = lambda n, i, f: (n, i, f, "{}", T0, 1)
+    rows = [
+        (1, [call(0, "a", "x"), call(1, "b", "y"), call(3, "c", "y")]), (2, [call(1, "b", "y"), call(3, "c", "y")]), (3, [call(1, "a", "x"), call(2, "a", "y"), call(3, "b", "x")]),
+        (4, [call(1, "a", "x"), call(None, "b", "x"), call(3, "c", "x")]), (5, [call(7, None, "x"), call(7, None, "x")]), (6, [call(2**31 - 1, "a", "x"), call(2**31 - 2, "b", "x")]),
+        (7, [call(1, "a", "x"), None, call(3, "c", "x")]), (8, [call(-1, "a", None), call(0, "b", None)]),
+    ]
+    rng = random.Random(12)
+    rows += [(100 + i, [call(rng.choice([None, *range(-1, 9)]), rng.choice([None, "a", "b", *map(str, range(20))]), rng.choice("xxy")) for _ in range(rng.randrange(7))]) for i in range(400)]
+    df = spark.createDataFrame(rows, f"trace_id long, tool_calls {CALL}")
+    two = {(r["trace_id"], r["first_seq"], r["last_seq"], r["n_calls"]) for r in runs.collapse_runs(df).collect()}
+    one = {(r["trace_id"], r["first_seq"], r["last_seq"], r["n_calls"]) for r in runs.collapse_runs(df, 1).filter("n_calls > 1").collect()}
+    assert two == one and {(1, 1, 3, 2), (2, 1, 3, 2), (3, 1, 3, 2), (4, 1, 3, 2), (5, 7, 7, 2)} <= two
+    assert {x[:3] for x in two} == {(i, a, b) for i, calls in rows for a, b in brute_runs(calls)}
+
+
 @pytest.mark.parametrize("a, b, same", [('{"a": "ß"}', '{"A": "SS"}', True), ('{"a": 20}', '{"a": "20"}', True), ('{"a": 20}', '{"a": 20.0}', True), ('{"a": "007"}', '{"a": 7}', False), ('{"a": {}}', "{}", True), ('{"a": "x"}', '{"a": "y"}', False), ("{x", "{x ", False), (None, "{}", False), ('{"a": 1e999}', '{"a": 1e999}', True)])
 def test_same_arguments(a, b, same):
     assert (runs.fold_arguments(a) == runs.fold_arguments(b)) is same
