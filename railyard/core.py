@@ -23,17 +23,25 @@ def clean_label(col: Column | str) -> Column:
     return F.when(c != "", c)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder, so that a lost executor costs no recomputation.
+def shared_folder(spark: SparkSession, purpose: str = "") -> str:
+    """The folder that the session's ``spark.checkpoint.dir`` names, or one below it.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (tests on one
-    machine) a temporary folder is used.
+    Where it is unset, a session on one machine (a local master, as in tests) gets a folder of its own; on a cluster
+    that would lie on one machine only, so there it is an error.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: name a folder that all executors share")
+        folder = os.path.join(tempfile.gettempdir(), "railyard")
+    return os.path.join(folder, purpose) if purpose else folder
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder, so that a lost executor costs no recomputation."""
+    sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        folder = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "railyard-checkpoints")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

@@ -6,8 +6,6 @@ rows as parquet into the shared checkpoint folder and reads them back, so that n
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -16,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from railyard.core import shared_folder
+
 
 def event_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     """The parquet files under a path as a stream; ``ts`` as a timestamp for watermarks."""
@@ -26,16 +26,10 @@ def event_stream(spark: SparkSession, path: str, files_per_trigger: int | None =
     return reader.parquet(f"{path[:-1]}[{path[-1]}]").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder all executors see; a local one only where the session names none (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "railyard-streams")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
-
-
 def drained(stream: DataFrame) -> DataFrame:
     """All rows that an append stream gives over the data at hand."""
     spark = stream.sparkSession
-    folder = shared_folder(spark)
+    folder = shared_folder(spark, f"stream-{uuid.uuid4().hex}")
     schema = stream.schema
     run = (
         stream.writeStream.format("parquet").option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/state")
