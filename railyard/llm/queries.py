@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from railyard.core import table
 from railyard.llm.encode import encode_texts
 from railyard.llm.leaks import find_leaks, leak_report
-from railyard.llm.mixing import mix_records, mix_report, mix_shortfall
+from railyard.llm.mixing import mix_records, mix_report
 from railyard.llm.mojibake import find_garbled
 from railyard.llm.overlaps import overlap_pairs, overlap_report
 from railyard.llm.packing import fill_report, pack_documents
@@ -42,7 +42,7 @@ def p2_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    return mix_shortfall(table(spark, sf, "sft_mix_chat"), table(spark, sf, "mix_targets")).filter("short").select("mix_id", "source")
+    return mix_report(table(spark, sf, "sft_mix_chat"), table(spark, sf, "mix_targets")).filter("short").select("mix_id", "source")
 
 
 def p3_mix(spark: SparkSession, sf: str) -> DataFrame:

@@ -13,8 +13,11 @@ Defined cases
 - traces with the same (task_id, sample_idx) count once, the first by (ingested_at, trace_id); a row with a
   null in that key is its own record.
 - null or empty fault, replan, recovery_mode read as none, false, direct; a null template has no category.
-- a category at hand less than max(min_rows, floor(sample_size * permille / 1000)) is reported as short and
-  gives all it has; one without rows is reported with 0. Nothing is filled up from other categories.
+- what a category lacks of max(min_rows, floor(sample_size * permille / 1000)) is a column of the two-way table of its
+  own (MISSING), which the flow fills beside the strata: a category with a quota there is short and gives all it
+  has; one without rows is reported with 0. Nothing is filled up from other categories.
+- minimums of small categories are kept at the cost of the others, so that the sample keeps its size; a category
+  that is given less than its own target for that reason is reported as below_target, with the reason.
 - repeated rows of a request's target count once; a null target or size counts as 0. Empty tables give empty
   results. Columns not named here are ignored.
 """
@@ -32,6 +35,8 @@ from railyard.core import checkpointed, clean_label, hash_unit
 
 STRATA = 16
 SLICES = 4096
+#: The column of the two-way table that holds what a category lacks.
+MISSING = -1
 #: What a null or empty label reads as.
 DEFAULTS = {"fault": "none", "replan": "false", "recovery_mode": "direct"}
 
@@ -153,7 +158,7 @@ def plan_request(targets: list[dict], at_hand: dict[tuple[str, int], int]) -> li
 
     A category's aim is its share of the sample, at most what is at hand. The aims are
     first rounded to integers that keep the total, then split over the strata as these are at hand, and the
-    split is rounded by controlled rounding, so both margins stay.
+    split is rounded by controlled rounding, so both margins stay. The last column holds what is missing.
     """
     strata = sorted({k for (_, k) in at_hand}) or [0]
     rows = []
@@ -162,11 +167,10 @@ def plan_request(targets: list[dict], at_hand: dict[tuple[str, int], int]) -> li
         rows.append(x | {"have": have, "required": max(x["min_rows"], x["sample_size"] * x["target_permille"] // 1000)})
     aims = [min(a, Fraction(x["have"])) for a, x in zip(shares(rows), rows)]
     whole = [r[0] for r in controlled_rounding([[a] for a in aims])]
-    table = [[Fraction(n * at_hand.get((x["category"], k), 0), max(1, x["have"])) for k in strata] for n, x in zip(whole, rows)]
-    rounded = controlled_rounding(table)
+    table = [[Fraction(n * at_hand.get((x["category"], k), 0), max(1, x["have"])) for k in strata] + [Fraction(max(0, x["required"] - x["have"]))] for n, x in zip(whole, rows)]
     out = []
-    for x, n, cells in zip(rows, whole, rounded):
-        out += [x | {"stratum": k, "quota": q, "quota_total": n} for k, q in zip(strata, cells)]
+    for x, cells in zip(rows, controlled_rounding(table)):
+        out += [x | {"stratum": k, "quota": q} for k, q in zip([*strata, MISSING], cells)]
     return out
 
 
@@ -197,8 +201,8 @@ def _labels(fields: dict[str, list[str]]) -> Column:
     return F.posexplode(F.array(*codes)).alias("field", "code")
 
 
-def quota_plan(traces: DataFrame, targets: DataFrame, stratum: str, keep: bool) -> tuple[DataFrame, DataFrame, dict[str, list[str]]]:
-    """(quota of each request, category and stratum; the distinct records, checkpointed if ``keep``; the fields)."""
+def quota_plan(traces: DataFrame, targets: DataFrame, stratum: str) -> tuple[DataFrame, DataFrame, dict[str, list[str]]]:
+    """(quota of each request, category and stratum; the distinct records, checkpointed; the fields)."""
     spark = traces.sparkSession
     rows = (
         targets.filter("request_id is not null and category_field is not null and category is not null")
@@ -210,8 +214,7 @@ def quota_plan(traces: DataFrame, targets: DataFrame, stratum: str, keep: bool)
     wanted = [r.asDict() for r in rows]
     fields = {f: sorted({r["category"] for r in wanted if r["category_field"] == f}) for f in sorted({r["category_field"] for r in wanted})}
     names = list(fields)
-    records = distinct_records(traces, fields, stratum)
-    records = checkpointed(records) if keep else records
+    records = checkpointed(distinct_records(traces, fields, stratum))
     plan: list[dict] = []
     if wanted:
         # at most STRATA rows for each target
@@ -220,25 +223,14 @@ def quota_plan(traces: DataFrame, targets: DataFrame, stratum: str, keep: bool)
             mine = [r for r in wanted if (r["request_id"], r["category_field"]) == (request, name)]
             at_hand = {(fields[name][r["code"] - 1], r["stratum"]): r["count"] for r in counts if r["field"] == names.index(name)}
             plan += [x | {"field": names.index(name), "code": fields[name].index(x["category"]) + 1} for x in plan_request(mine, at_hand)]
-    schema = "request_id long, field int, code int, category_field string, category string, stratum int, sample_size long, target_permille long, min_rows long, have long, required long, quota long, quota_total long"
+    schema = "request_id long, field int, code int, category_field string, category string, stratum int, sample_size long, target_permille long, min_rows long, have long, required long, quota long"
     columns = [c.split()[0] for c in schema.split(", ")]
     return spark.createDataFrame([tuple(x[n] for n in columns) for x in plan], schema), records, fields
 
 
-def quota_report(traces: DataFrame, targets: DataFrame, stratum: str = "teacher") -> DataFrame:
-    """Each request and category with what was asked, is at hand and is given; ``short`` where it falls short."""
-    plan, _, _ = quota_plan(traces, targets, stratum, keep=False)
-    keys = ["request_id", "category_field", "category", "sample_size", "target_permille", "min_rows"]
-    return plan.groupBy(*keys).agg(
-        F.max("have").alias("n_available"), F.max("required").alias("n_required"), F.sum("quota").alias("n_given"),
-        (F.max("have") < F.max("required")).alias("short"),
-    )
-
-
-def quota_sample(traces: DataFrame, targets: DataFrame, stratum: str = "teacher", seed: int = 42) -> DataFrame:
-    """The sampled rows (request_id, category, trace_id): exactly the quota of each cell, by smallest random key."""
-    plan, records, fields = quota_plan(traces, targets, stratum, keep=True)
-    cells = F.broadcast(plan.filter("quota > 0").select("request_id", "field", "code", "category", "stratum", "quota"))
+def draw(plan: DataFrame, records: DataFrame, fields: dict[str, list[str]], seed: int) -> DataFrame:
+    """(request_id, category, trace_id): exactly the quota of each cell, by smallest random key."""
+    cells = F.broadcast(plan.filter(f"quota > 0 and stratum <> {MISSING}").select("request_id", "field", "code", "category", "stratum", "quota"))
     rows = records.select("trace_id", "stratum", _labels(fields)).join(cells, ["field", "code", "stratum"])
     rows = rows.withColumn("key", hash_unit("request_id", "trace_id", seed=seed)).withColumn("slice", F.floor(F.col("key") * SLICES).cast("int"))
     cell = ["request_id", "category", "stratum"]
@@ -252,3 +244,21 @@ def quota_sample(traces: DataFrame, targets: DataFrame, stratum: str = "teacher"
     edge = rows.filter("slice = last").withColumn("rank", rank).filter("rank <= rest")
     out = ["request_id", "category", "trace_id"]
     return sure.select(*out).unionByName(edge.select(*out))
+
+
+def quota_sample(traces: DataFrame, targets: DataFrame, stratum: str = "teacher", seed: int = 42) -> DataFrame:
+    """The sampled rows (request_id, category, trace_id)."""
+    return draw(*quota_plan(traces, targets, stratum), seed)
+
+
+def quota_report(traces: DataFrame, targets: DataFrame, stratum: str = "teacher", seed: int = 42) -> DataFrame:
+    """Each request and category with what was asked, is at hand, is missing and was drawn; ``short`` where rows are missing,
+    ``below_target`` where less was drawn than asked, with the ``reason``."""
+    plan, records, fields = quota_plan(traces, targets, stratum)
+    drawn = draw(plan, records, fields, seed).groupBy("request_id", "category").agg(F.count("*").alias("n_given"))
+    keys = ["request_id", "category_field", "category", "sample_size", "target_permille", "min_rows"]
+    asked = plan.groupBy(*keys).agg(F.max("have").alias("n_available"), F.max("required").alias("n_required"), F.sum(F.expr(f"if(stratum = {MISSING}, quota, 0)")).alias("n_missing"))
+    out = asked.join(drawn, ["request_id", "category"], "left").na.fill(0, ["n_given"])
+    out = out.withColumn("short", F.col("n_missing") > 0).withColumn("below_target", F.col("n_given") < F.col("n_required"))
+    reason = F.when(F.col("short"), "too few at hand").when(F.col("below_target"), "minimums of other categories")
+    return out.select(*keys, "n_available", "n_required", "n_missing", "n_given", "short", "below_target", reason.alias("reason"))

@@ -148,9 +148,47 @@ def test_quota_sample(spark):
     assert quota.quota_report(t.limit(0), targets).filter("short").count() == 4 and quota.quota_sample(t, targets.limit(0)).count() == 0
 
 
+def test_quota_below_target(spark):
+    """Minimums of small categories cost the large one its target: reported, though nothing is short."""
+    t = traces(spark, [(i, f"t{i}", 0, "abc"[i % 3], None, None, None, "l", T0, "x") for i in range(1500)])
+    targets = spark.createDataFrame([(1, "template", c, 100, p, m) for c, p, m in (("a", 900, 0), ("b", 50, 30), ("c", 50, 30))], "request_id long, category_field string, category string, sample_size long, target_permille int, min_rows long")
+    report = {r["category"]: r for r in quota.quota_report(t, targets).collect()}
+    assert [report[c]["n_given"] for c in "abc"] == [40, 30, 30] and not any(r["short"] for r in report.values())
+    assert report["a"]["below_target"] and report["a"]["reason"] == "minimums of other categories" and not report["b"]["below_target"] and report["b"]["reason"] is None
+
+
 # 3 mixing
 
 
+def test_mix_by_brute_force(spark):
+    """The rows drawn are those that a sort of all keys of a source gives."""
+    rng = random.Random(13)
+    rows = [(i, f"o{i}", rng.choice("aab"), [{"role": rng.choice(["assistant", "user"]), "content": "wort " * rng.randrange(1, 40)}], T0) for i in range(300)]
+    r = spark.createDataFrame(rows, f"record_id long, origin_id string, source string, messages {MESSAGES}, ingested_at timestamp_ntz")
+    targets = spark.createDataFrame([(1, "a", 20_000, 500, 3), (1, "b", 20_000, 500, 3), (2, "a", 1000, 1000, 1), (3, "b", 10**6, 1000, 2)], "mix_id long, source string, total_chars long, target_permille int, max_repeats int")
+    keyed = mixing.distinct_records(r).withColumn("key", -F.log(mixing.hash_unit("record_id", seed=42)) / F.col("weight")).orderBy("key", "record_id").collect()
+    want = set()
+    for mix, source, total, permille, most in targets.collect():
+        mine = [x for x in keyed if x["source"] == source]
+        budget, size = total * permille // 1000, sum(x["n_chars"] for x in mine)
+        epochs = min(most, budget // size)
+        rest, upto = (budget - epochs * size if epochs < most else 0), 0
+        for x in mine:
+            upto += x["n_chars"]
+            times = epochs + (rest > 0 and 2 * upto - x["n_chars"] <= 2 * rest)
+            if times:
+                want.add((mix, source, x["record_id"], x["n_chars"], times))
+    assert {tuple(x) for x in mixing.mix_records(r, targets).collect()} == want
+    assert {(x["mix_id"], x["source"]) for x in mixing.mix_report(r, targets).filter("short").collect()} == {(3, "b")}
+
+
+def test_quality(spark):
+    m = lambda *contents, role="assistant": [{"role": role, "content": c} for c in contents]
+    rows = [(1, m("a plain answer in words")), (2, m("a plain answer in words", None)), (3, m("so " * 50)), (4, m("#{}|~ #{}|~")), (5, m("a plain answer in words", role="user")), (6, None), (7, []), (8, m("")), (9, [None])]
+    q = {r["i"]: r["q"] for r in spark.createDataFrame(rows, f"i long, messages {MESSAGES}").select("i", mixing.quality_of(F.col("messages")).alias("q")).collect()}
+    assert q[1] > 0.9 and all(mixing.LEAST <= q[i] < q[1] for i in range(2, 10)) and q[6] == q[7] == q[8] == q[9] == mixing.LEAST
+
+
 def test_mix(spark):
     message = lambda n: [{"role": "user", "content": "é" * n}, {"role": "assistant", "content": None}]
     rows = [(i, f"o{i}", "DB-Bahn", message(10), T0, 1) for i in range(200)] + [(500 + i, f"o{i}", "db_bahn", message(10), T0 + dt.timedelta(1), 1) for i in range(20)]
