@@ -4,8 +4,13 @@ Method: SimHash of item-sized windows. Every held-out item is cut into windows o
 into all its windows of that size; each window has a 128-bit SimHash of its words. A multi-index over eight
 16-bit blocks holds every item window under all block values within RADIUS // 8 bits of its own, so by the
 pigeonhole principle a lookup of a message window's eight blocks meets every item window within RADIUS.
-Candidates are verified by the exact similarity of the two windows' words (weighted by their number), then by
-aligning message and item word by word.
+Candidates are verified by the exact weighted similarity of the two windows' shingles: words and pairs of
+neighbouring words, each weighted by how often it stands in the window; the sum of the lesser weights has to be
+LEAST_ALIKE of the sum of the greater ones. Of the 16 words and 15 pairs of a window three edits, the most of the
+definition, leave 13 and 9, hence 22 / 40. What passes is aligned with the item word by word.
+
+A message window that holds fewer than 22 words and pairs of any item cannot be so similar, so it gets no
+fingerprint.
 
 An item leaks where a message holds a run of at least RUN words of it, from one equal word to another, of
 which at most one in EDIT is replaced, left out or added. A run of RUN words holds a whole window of the item
@@ -15,7 +20,7 @@ Words are runs of letters and digits; case, character width, invisible character
 ends, JSON escapes and words broken at a line end make no difference.
 
 The items are a stated query set of bounded size: they are taken in blocks of at most BLOCK items, each block
-a broadcast of known size and one pass over the chats. Nothing is shuffled; a chat's messages are searched
+a broadcast of known size (the index takes about 0.25 MB an item in a worker) and one pass over the chats. Nothing is shuffled; a chat's messages are searched
 where they lie.
 
 Defined cases: null or empty messages, entries, contents and item texts hold nothing; items of fewer than RUN
@@ -42,8 +47,12 @@ from railyard.core import spread
 RUN, EDIT = 20, 6
 WINDOW, STRIDE = 16, 5
 RADIUS, BLOCKS = 31, 8
-LEAST_ALIKE = 13
-BLOCK = 2000
+#: Words and pairs that a window has, those that it shares where it is alike, and the similarity that this makes.
+SHINGLES, LEAST_SHARED = 2 * WINDOW - 1, 22
+LEAST_ALIKE = LEAST_SHARED / (2 * SHINGLES - LEAST_SHARED)
+BLOCK = 1000
+#: Characters that are searched at once.
+PORTION = 400_000
 
 WORD = re.compile(r"[^\W_]+")
 INVISIBLE = re.compile("[­͏؜ᅟᅠ឴឵᠎​-‏‪-‮⁠-⁯︀-️﻿]")
@@ -90,8 +99,9 @@ def _hash_bits(word: str) -> np.ndarray:
 
 def simhashes(bits: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """SimHash, as eight 16-bit blocks, of the windows that begin at ``starts``; bits: +1 or -1 by word and bit."""
-    sums = np.zeros((len(bits) + 1, 128), np.int32)
-    np.cumsum(bits, axis=0, out=sums[1:])
+    # the sums may wrap: their differences lie within WINDOW of zero
+    sums = np.zeros((len(bits) + 1, 128), np.int8)
+    np.cumsum(bits, axis=0, dtype=np.int8, out=sums[1:])
     windows = sums[starts + WINDOW] - sums[starts]
     return np.packbits(windows > 0, axis=1).view(">u2").astype(np.uint16)
 
@@ -101,6 +111,21 @@ def ball(bits: int, radius: int) -> np.ndarray:
     return np.array([sum(1 << i for i in c) for r in range(radius + 1) for c in itertools.combinations(range(bits), r)], np.uint16)
 
 
+def shingles(windows: np.ndarray) -> np.ndarray:
+    """The words and pairs of each window of word codes, as numbers that differ from repeat to repeat, so that the size of an
+    intersection is the sum of the lesser counts."""
+    pairs = (windows[:, :-1].astype(np.int64) + 1 << 26) + windows[:, 1:] + 1
+    both = np.concatenate([windows.astype(np.int64) + 1, pairs], axis=1)
+    repeat = np.tril(both[:, :, None] == both[:, None, :], -1).sum(axis=2)
+    return (both << 5) + repeat
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Weighted Jaccard similarity, row by row, of what ``shingles`` gives."""
+    shared = (a[:, :, None] == b[:, None, :]).any(axis=2).sum(axis=1)
+    return shared / (a.shape[1] + b.shape[1] - shared)
+
+
 def align(item: np.ndarray, text: np.ndarray) -> bool:
     """Whether ``text`` holds a run of the item as the module defines it.
 
@@ -165,6 +190,8 @@ class Finder:
         self.owner, self.begin = np.concatenate(owner), np.concatenate(begin)
         self.prints, self.words = np.concatenate(prints), np.concatenate(words)
         self.wide = self.prints.view(np.uint64).reshape(-1, 2)
+        self.shingles = shingles(self.words)
+        self.pairs = np.unique(np.concatenate([w[:-1].astype(np.int64) * len(self.known) + w[1:] for w in self.items]))
         masks = ball(16, RADIUS // BLOCKS)
         # per block: item windows by block value, as one sorted list and its offsets
         self.lists, self.offsets = [], []
@@ -187,60 +214,78 @@ class Finder:
 
     def candidates(self, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(message window, item window) within RADIUS whose words are alike."""
-        prints = simhashes(self.bits[codes], starts)
-        wide = prints.view(np.uint64).reshape(-1, 2)
         found = []
         for at in range(0, len(starts), 4096):
-            part = prints[at : at + 4096]
+            some = starts[at : at + 4096]
+            covered = np.zeros(some[-1] + WINDOW - some[0], bool)
+            covered[(some[:, None] - some[0] + np.arange(WINDOW)).ravel()] = True
+            part = simhashes(self.bits[codes[some[0] : some[-1] + WINDOW][covered]], np.cumsum(covered)[some - some[0]] - 1)
+            wide = part.view(np.uint64).reshape(-1, 2)
             pairs = []
             for b in range(BLOCKS):
                 low, high = self.offsets[b][part[:, b]], self.offsets[b][part[:, b].astype(np.int64) + 1]
                 n = high - low
                 window = np.repeat(np.arange(len(part)), n)
-                place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+                place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - low, n)
                 item = self.lists[b][place]
-                near = np.bitwise_count(wide[at + window] ^ self.wide[item]).sum(axis=1) <= RADIUS
+                near = np.bitwise_count(wide[window] ^ self.wide[item]).sum(axis=1) <= RADIUS
                 pairs.append((at + window[near]) * len(self.owner) + item[near])
             found.append(np.unique(np.concatenate(pairs)))
         pairs = np.concatenate(found)
         window, item = pairs // len(self.owner), pairs % len(self.owner)
         keep = np.zeros(len(pairs), bool)
-        for at in range(0, len(pairs), 50_000):
-            mine = codes[starts[window[at : at + 50_000]][:, None] + np.arange(WINDOW)]
-            theirs = self.words[item[at : at + 50_000]]
-            keep[at : at + 50_000] = (theirs[:, :, None] == mine[:, None, :]).any(axis=2).sum(axis=1) >= LEAST_ALIKE
+        for at in range(0, len(pairs), 20_000):
+            mine, place = np.unique(window[at : at + 20_000], return_inverse=True)
+            mine = shingles(codes[starts[mine][:, None] + np.arange(WINDOW)])
+            keep[at : at + 20_000] = similarity(mine[place], self.shingles[item[at : at + 20_000]]) >= LEAST_ALIKE
         return window[keep], item[keep]
 
-    def leaks(self, text: str | None) -> set[int]:
-        """Places, in item_ids, of the items that leak in the text."""
-        if not text or not self.items or len(text) < 2 * WINDOW:
-            return set()
-        words = words_of(text, self.known)
-        if len(words) < WINDOW:
-            return set()
-        # a window with fewer known words than the similarity asks for cannot be a candidate
-        known = np.concatenate(([0], np.cumsum([w in self.known for w in words])))
-        starts = np.flatnonzero(known[WINDOW:] - known[:-WINDOW] >= LEAST_ALIKE)
+    def starts(self, codes: np.ndarray) -> np.ndarray:
+        """Windows with at least as many words and pairs of the items as the similarity asks for; codes: -1 for other words."""
+        known = codes >= 0
+        both = known[:-1] & known[1:]
+        pair = codes[:-1].astype(np.int64) * len(self.known) + codes[1:]
+        both[both] = self.pairs[np.searchsorted(self.pairs, pair[both]).clip(max=len(self.pairs) - 1)] == pair[both]
+        words, pairs = np.concatenate(([0], np.cumsum(known))), np.concatenate(([0], np.cumsum(both)))
+        return np.flatnonzero(words[WINDOW:] - words[:-WINDOW] + pairs[WINDOW - 1 :] - pairs[: -WINDOW + 1] >= LEAST_SHARED)
+
+    def leaks(self, texts: list[str]) -> list[set[int]]:
+        """For each text the places, in item_ids, of the items that leak in it."""
+        out: list[set[int]] = [set() for _ in texts]
+        if not self.items:
+            return out
+        words = [words_of(t, self.known) if len(t) >= 2 * WINDOW else [] for t in texts]
+        sizes = np.array([len(w) for w in words])
+        known = self.known
+        codes = np.fromiter((known.get(x, -1) for w in words for x in w), np.int32, sizes.sum())
+        if len(codes) < WINDOW:
+            return out
+        text = np.repeat(np.arange(len(texts)), sizes)
+        starts = self.starts(codes)
+        starts = starts[text[starts] == text[starts + WINDOW - 1]]
         if not len(starts):
-            return set()
-        if len(self.cache) > 500_000:
-            self.cache = dict(self.known)
-        codes = self.code(words)
+            return out
+        if len(self.cache) > 500_000:  # far below the 2 ** 26 codes that a pair of words can hold
+            self.cache = dict(known)
+        begins = np.cumsum(sizes) - sizes
+        for i in np.unique(text[starts]):
+            codes[begins[i] : begins[i] + sizes[i]] = self.code(words[i])
         window, item = self.candidates(codes, starts)
-        out = set()
         at, owner = starts[window], self.owner[item]
-        for k in np.unique(owner):
-            mine = owner == k
-            places, begins = at[mine], self.begin[item[mine]]
-            # stretches of the message that hold candidates, with room for a run around each
-            order = np.argsort(places, kind="stable")
-            places, begins = places[order], begins[order]
-            cuts = np.flatnonzero(np.diff(places) > 2 * RUN) + 1
-            for p, g in zip(np.split(places, cuts), np.split(begins, cuts)):
+        mine = text[at] * len(self.items) + owner
+        order = np.lexsort((at, mine))
+        at, begun, mine = at[order], self.begin[item[order]], mine[order]
+        # stretches of a message that hold candidates of one item, with room for a run around each
+        cuts = np.flatnonzero((np.diff(mine) > 0) | (np.diff(at) > 2 * RUN)) + 1
+        for p, g, m in zip(np.split(at, cuts), np.split(begun, cuts), np.split(mine, cuts)):
+            if not len(m):
+                continue
+            i, k = divmod(int(m[0]), len(self.items))
+            if k not in out[i]:
+                low, high = begins[i], begins[i] + sizes[i]
                 words_k = self.items[k][max(0, g.min() - 2 * RUN) : g.max() + WINDOW + 2 * RUN]
-                if align(words_k, codes[max(0, p.min() - 2 * RUN - 8) : p.max() + WINDOW + 2 * RUN + 8]):
-                    out.add(int(k))
-                    break
+                if align(words_k, codes[max(low, p[0] - 2 * RUN - 8) : min(high, p[-1] + WINDOW + 2 * RUN + 8)]):
+                    out[i].add(k)
         return out
 
 
@@ -256,28 +301,41 @@ def _finder(items: list[tuple[int, str]]) -> Finder:
     return _FINDERS[key]
 
 
+def portions(texts: list[str], most: int) -> Iterator[list[str]]:
+    """Consecutive texts of about ``most`` characters together; a longer text is a portion of its own."""
+    some: list[str] = []
+    size = 0
+    for t in texts:
+        if some and size + len(t) > most:
+            yield some
+            some, size = [], 0
+        some.append(t)
+        size += len(t)
+    if some:
+        yield some
+
+
 def _search(chats: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
     shared = chats.sparkSession.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = _finder(shared.value)
-        seen: dict[str, frozenset[int]] = {}
+        seen: dict[str, set[int]] = {}
         for batch in batches:
+            ids, lists = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            # texts repeat in dialogs (prompts, delivered again), so each is searched once
+            fresh = [t for t in dict.fromkeys(t for texts in lists for t in texts) if t not in seen]
+            here: dict[str, set[int]] = {}
+            for some in portions(fresh, PORTION):
+                here.update(zip(some, finder.leaks(some)))
             chat, item = [], []
-            for chat_id, texts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                hits: set[int] = set()
-                for t in texts:
-                    # short texts repeat in dialogs (prompts, delivered again); a long one is not kept
-                    if len(t) > 4000:
-                        hits |= finder.leaks(t)
-                        continue
-                    if t not in seen:
-                        if len(seen) > 20_000:
-                            seen.clear()
-                        seen[t] = frozenset(finder.leaks(t))
-                    hits |= seen[t]
+            for chat_id, texts in zip(ids, lists):
+                hits = sorted(set().union(*(here[t] if t in here else seen[t] for t in texts)))
                 chat += [chat_id] * len(hits)
-                item += [finder.item_ids[k] for k in sorted(hits)]
+                item += [finder.item_ids[k] for k in hits]
+            if len(seen) > 20_000:
+                seen.clear()
+            seen.update((t, h) for t, h in here.items() if len(t) <= 4000)
             yield pa.RecordBatch.from_arrays([pa.array(chat, pa.int64()), pa.array(item, pa.int64())], names=["chat_id", "item_id"])
 
     contents = F.filter(F.transform("messages", lambda m: m["content"]), lambda c: F.length(c) >= 2 * WINDOW)
@@ -288,11 +346,8 @@ def _search(chats: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
 def find_leaks(chats: DataFrame, items: DataFrame) -> DataFrame:
     """(chat_id, item_id) of every item that leaks in a message of the chat."""
     texts = items.filter("item_id is not null and item_text is not null").select(F.col("item_id").cast("long").alias("item_id"), "item_text").distinct()
-    blocks = -(-texts.count() // BLOCK)
-    found = []
-    for b in range(blocks):
-        block = texts if blocks == 1 else texts.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)
-        found.append(_search(chats, [(r["item_id"], r["item_text"]) for r in block.collect()]))
+    rows = sorted((r["item_id"], r["item_text"]) for r in texts.collect())  # the stated query set
+    found = [_search(chats, rows[at : at + BLOCK]) for at in range(0, len(rows), BLOCK)]
     if not found:
         return chats.sparkSession.createDataFrame([], "chat_id long, item_id long")
     return reduce(DataFrame.unionByName, found).distinct()

@@ -4,6 +4,7 @@ import datetime as dt
 import itertools
 import json
 import random
+from collections import Counter
 from fractions import Fraction
 
 import numpy as np
@@ -104,10 +105,24 @@ def test_index_meets_all_within_radius():
     want = set()
     for i, j in itertools.product(range(len(starts)), range(len(finder.owner))):
         near = int(np.bitwise_count(prints[i] ^ finder.wide[j]).sum()) <= leaks.RADIUS
-        window = set(codes[starts[i] : starts[i] + leaks.WINDOW].tolist())
-        if near and sum(int(x) in window for x in finder.words[j]) >= leaks.LEAST_ALIKE:
+        mine, theirs = (Counter([*w, *zip(w, w[1:])]) for w in (codes[starts[i] : starts[i] + leaks.WINDOW].tolist(), finder.words[j].tolist()))
+        if near and (mine & theirs).total() / (mine | theirs).total() >= leaks.LEAST_ALIKE:
             want.add((i, j))
     assert set(zip(*(x.tolist() for x in finder.candidates(codes, starts)))) == want and want
+    assert {i for i, _ in want} <= set(finder.starts(codes).tolist())
+
+
+def test_three_edits_stay_similar():
+    """A window keeps LEAST_ALIKE with some window of the text after any three words replaced, left out or added."""
+    rng = random.Random(3)
+    for _ in range(300):
+        item = [rng.randrange(40) for _ in range(leaks.WINDOW)]
+        text = [90 + i for i in range(20)] + item + [150 + i for i in range(20)]
+        for _ in range(3):
+            at = rng.randrange(20, 20 + leaks.WINDOW)
+            text[at : at + 1] = rng.choice([[], [99], [text[at], 98]])
+        windows = np.array([text[i : i + leaks.WINDOW] for i in range(len(text) - leaks.WINDOW + 1)])
+        assert leaks.similarity(leaks.shingles(windows), np.repeat(leaks.shingles(np.array([item])), len(windows), axis=0)).max() >= leaks.LEAST_ALIKE
 
 
 # 2 quotas
