@@ -1,19 +1,27 @@
 """Same or near-same records across splits.
 
-Method: similarity-hash bit fingerprints. Each ticket gets a 128-bit SimHash of its values (numbers, dates,
-times, each in one spelling); the fingerprints are cut into four 32-bit segments, and tickets of the training
-split and of the evaluation splits that share a segment are joined: by the pigeonhole principle all pairs
-within a Hamming radius of 3. Candidates are verified on the texts, then counted by split and source.
+Method: similarity-hash bit fingerprints. Each ticket gets a 256-bit SimHash of its words and of its values (numbers,
+dates, times, each in one spelling, and neighbouring pairs of them), a value weighing VALUE_WEIGHT words, since a
+changed value makes another request and a changed word need not. The fingerprint is cut into eight blocks of 32
+bits; tickets of the training split and of the evaluation splits that share a block, and whose templates fit, are
+joined: by the pigeonhole principle all pairs within a Hamming radius of 7. Candidates are verified on the texts,
+then counted by split and source.
 
-The fingerprint rests on the values because two tickets that ask the same have the same values, however the
-words around them vary; a ticket without any number is fingerprinted by its words. Tickets of equal content
-form one class, and only classes are joined, so a group of copies costs one row per segment.
+A ticket without any value has only words, and one slip turns about a tenth of its bits, so it is fingerprinted by
+the letter triples of its words and met through blocks of 20 bits of PERMUTATIONS permuted copies of the
+fingerprint, within a radius of 64: with n bits of 256 turned a block stays whole with (1 - n / 256) ** 20.
+
+Tickets of equal content form one class, and only classes are joined: a group of copies costs one row per block. A
+block that many classes share is cut on both sides into parts of about HOT classes, and each part meets each of the
+other side. Reports count by the sizes of classes; only ``overlap_pairs`` expands them to tasks.
 
 Verification: small talk (sentences that are frequent in the corpus, also with slips) and greetings are set
 aside; the values must be equal; the words are aligned, slips of the pen are matched, and a replaced word
 counts as a changed value where both words are about equally frequent, as the alternatives of one slot are
 (a slip or a synonym is far rarer than the word it stands for; of two rare words that differ by a slip, one may be
-the other's slip, but not where names and codes stand). Frequent words and sentences are bounded
+the other's slip, but not where names and codes stand). A frequent sentence that is one of several alternatives
+(others about as frequent differ from it in a word or two) holds values and is no small talk. These verdicts rest
+on the frequencies in the corpus, by WORD_SHARE, TALK_SHARE and RIVAL. Frequent words and sentences are bounded
 tables: at most (mean words) / SHARE of them can reach a share of the corpus.
 
 Defined cases
@@ -30,20 +38,25 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
-from itertools import combinations
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railyard.core import bound, checkpointed, clean_label
 
 TRAIN = "sft_train"
 EVAL = ("heldout_eval", "sft_val", "rl_val")
-RADIUS = 3
-SEGMENTS = 4
+RADIUS, BLOCKS = 7, 8
+#: Words that a value weighs in the fingerprint.
+VALUE_WEIGHT = 12
+#: Of tickets without values: permuted copies, bits of a block, radius.
+PERMUTATIONS, WORD_BLOCK, WORD_RADIUS = 5, 20, 64
+#: Classes that a part of a block holds about.
+HOT = 2000
 #: Share of the distinct tickets from which on a word, and a sentence, is frequent.
 WORD_SHARE, TALK_SHARE = 0.0002, 0.01
 #: Two words are alternatives of one slot where the rarer has at least this part of the other's frequency.
@@ -114,24 +127,46 @@ def has_number(token: str) -> bool:
     return token[-1].isdigit()
 
 
+def slots(sentence: str, other: str) -> bool:
+    """Whether the two are one sentence with other words in one place or two, not by slips."""
+    a, b = sentence.split(), other.split()
+    if len(a) != len(b) or len(a) < 4:
+        return False
+    changed = [(x, y) for x, y in zip(a, b) if x != y]
+    return 0 < len(changed) <= max(1, len(a) // 4) and not all(slip(x, y) for x, y in changed)
+
+
+def small_talk(counts: dict[str, int], least: float) -> list[str]:
+    """The sentences without a number in at least ``least`` tickets, but for those that are one of several alternatives."""
+    plain = {s: n for s, n in counts.items() if not any(map(has_number, s.split()))}
+    return sorted(s for s, n in plain.items() if n >= least and not any(m >= RIVAL * n and slots(s, other) for other, m in plain.items()))
+
+
 class Talk:
-    """Knows the frequent sentences and takes them out of a ticket, also where they have slips."""
+    """Knows the frequent sentences and takes them out of a ticket, also where they have slips. frequency: tickets per frequent word."""
 
-    def __init__(self, frequent: list[str]):
-        self.exact = set(frequent)
+    def __init__(self, frequent: list[str], frequency: dict[str, int]):
+        self.exact, self.frequency = set(frequent), frequency
         self.bags = [frozenset(s.split()) for s in frequent if len(s.split()) > 3]
         self.phrases = sorted((f" {s} " for s in frequent if len(s.split()) > 3), key=len, reverse=True)
         self.known: dict[str, bool] = {}
 
+    def reworded(self, words: frozenset[str], bag: frozenset[str]) -> bool:
+        """Whether a sentence is a frequent one with slips or rare words; a word about as frequent as those it stands for is a value."""
+        if len(words & bag) < TALK_ALIKE * max(len(words), len(bag)):
+            return False
+        gone = bag - words
+        least = min((self.frequency.get(y, 0) for y in gone), default=0)
+        return all(self.frequency.get(x, 0) < RIVAL * least or x not in self.frequency or any(slip(x, y) for y in gone) for x in words - bag)
+
     def is_talk(self, sentence: str) -> bool:
         if sentence in self.exact:
             return True
         if sentence not in self.known:
-            words = frozenset(sentence.split())
-            self.known[sentence] = not any(map(has_number, words)) and any(len(words & b) >= TALK_ALIKE * max(len(words), len(b)) for b in self.bags)
             if len(self.known) > 200_000:
                 self.known.clear()
-                return self.is_talk(sentence)
+            words = frozenset(sentence.split())
+            self.known[sentence] = not any(map(has_number, words)) and any(self.reworded(words, b) for b in self.bags)
         return self.known[sentence]
 
     def core(self, sentences: list[str]) -> str:
@@ -152,28 +187,46 @@ class Talk:
 _BITS: dict[str, np.ndarray] = {}
 
 
-def _bits(token: str) -> np.ndarray:
-    """+1 or -1 for each of the 128 bits of the token's hash."""
-    if (b := _BITS.get(token)) is None:
+def _bits(feature: str) -> np.ndarray:
+    """+1 or -1 for each of the 256 bits of the feature's hash."""
+    if (b := _BITS.get(feature)) is None:
         if len(_BITS) > 200_000:
             _BITS.clear()
-        raw = np.frombuffer(xxhash.xxh3_128_digest(token.encode()), np.uint8)
-        b = _BITS[token] = np.unpackbits(raw).astype(np.int16) * 2 - 1
+        raw = np.frombuffer(xxhash.xxh3_128_digest(feature.encode(), 1) + xxhash.xxh3_128_digest(feature.encode(), 2), np.uint8)
+        b = _BITS[feature] = np.unpackbits(raw).astype(np.int16) * 2 - 1
     return b
 
 
-def fingerprint(core: str) -> np.ndarray | None:
-    """The SimHash as four 32-bit numbers, of the values and their pairs."""
+def fingerprint(core: str) -> tuple[np.ndarray, bool] | None:
+    """The 256 bits of the SimHash, and whether the text has values."""
     words = core.split()
     if not words:
         return None
     values = sorted({w for w in words if has_number(w)})
-    # pairs of values keep one of few (a date that many tickets have) from ruling the sum
-    features = [*values, *(f"{a} {b}" for a, b in (combinations(values, 2) if len(values) <= 64 else zip(values, values[1:])))] or sorted(set(words))
-    total = np.zeros(128, np.int64)
-    for f in features:
-        total += _bits(f)
-    return np.packbits(total > 0).view(">u4").astype(np.int64)
+    total = np.zeros(256, np.int64)
+    if values:
+        for f in {w for w in words if not has_number(w)}:
+            total += _bits(f)
+        # pairs of values keep one of few (a date that many tickets have) from ruling the sum
+        for f in (*values, *(f"{a} {b}" for a, b in zip(values, values[1:]))):
+            total += VALUE_WEIGHT * _bits(f)
+    else:
+        for f in Counter(t for w in words for t in (f" {w} "[i : i + 3] for i in range(len(w)))):
+            total += _bits(f)
+    return total > 0, bool(values)
+
+
+_ORDER = np.concatenate([np.random.RandomState(seed).permutation(256)[: 256 // WORD_BLOCK * WORD_BLOCK] for seed in range(PERMUTATIONS)])
+_WORTH = 1 << np.arange(WORD_BLOCK, dtype=np.int64)
+
+
+def blocks_of(bits: np.ndarray, has_values: bool) -> np.ndarray:
+    """The keys under which a fingerprint is met: the place of a block and its bits in one number."""
+    if has_values:
+        blocks = np.packbits(bits).view(">u4").astype(np.int64)
+        return blocks + (np.arange(BLOCKS, dtype=np.int64) << 32)
+    blocks = bits[_ORDER].reshape(-1, WORD_BLOCK) @ _WORTH
+    return blocks + (np.arange(BLOCKS, BLOCKS + len(blocks), dtype=np.int64) << 32)
 
 
 def slip(a: str, b: str, most: int = 2) -> bool:
@@ -192,6 +245,11 @@ def slip(a: str, b: str, most: int = 2) -> bool:
     return before[-1] <= most
 
 
+def shortened(word: str) -> set[str]:
+    """The word, and it without any one of its letters."""
+    return {word, *(word[:i] + word[i + 1 :] for i in range(len(word)))}
+
+
 class Verifier:
     """Decides whether two tickets make the same request. frequency: tickets per frequent word; least: below that none is known;
     naming: frequent words after which a rare one stands as a rule, so that it is a name or code."""
@@ -199,6 +257,12 @@ class Verifier:
     def __init__(self, frequency: dict[str, int], least: float, naming: frozenset[str] = frozenset()):
         self.frequency, self.least, self.naming = frequency, max(1.0, least), naming
         self.slips: dict[str, str] = {}
+        # two words that differ by one slip share a form with one letter less; words of two swapped letters do as well
+        self.by_shortened: dict[str, list[str]] = {}
+        for w, n in frequency.items():
+            if n >= 10 * self.least:
+                for d in shortened(w):
+                    self.by_shortened.setdefault(d, []).append(w)
 
     def rivals(self, a: str, b: str) -> bool:
         """Whether two words or phrases are about equally frequent; a phrase counts as its rarest word."""
@@ -215,8 +279,10 @@ class Verifier:
         return [self.mend(w) if w not in self.frequency and w not in other else w for w in words]
 
     def mend(self, word: str) -> str:
+        """The most frequent of the words, each far more frequent than a rare one, of which this is one slip."""
         if word not in self.slips:
-            near = [(n, w) for w, n in self.frequency.items() if n >= 10 * self.least and slip(word, w, 1)] if len(word) > 3 else []
+            near = {w for d in shortened(word) for w in self.by_shortened.get(d, ())} if len(word) > 3 else ()
+            near = [(self.frequency[w], w) for w in near if slip(word, w, 1)]
             if len(self.slips) > 100_000:
                 self.slips.clear()
             self.slips[word] = max(near)[1] if near else word
@@ -282,11 +348,6 @@ def _sentences(tasks: DataFrame) -> DataFrame:
     return tasks.withColumn("sentences", split(F.col("ticket").cast("string"))).drop("ticket").filter(F.size("sentences") > 0)
 
 
-def _frequent(values: DataFrame, least: float) -> list:
-    """(value, tickets) of those in at least ``least`` tickets: few, whatever the corpus holds."""
-    return values.groupBy("value").agg(F.count("*").alias("n")).filter(F.col("n") >= F.lit(least)).collect()
-
-
 def _naming(rows: DataFrame, known: dict[str, int]) -> frozenset[str]:
     """Frequent words followed by a rare word more often than not; at most as many as there are frequent words."""
     if not known:
@@ -300,53 +361,83 @@ def _naming(rows: DataFrame, known: dict[str, int]) -> frozenset[str]:
     return frozenset(r["before"] for r in share.filter("2 * rare > all").collect())
 
 
+def _frequent(texts: DataFrame, n: int) -> tuple[dict[str, int], dict[str, int], float]:
+    """(tickets of each frequent sentence and of its likely alternatives; of each frequent word; the least number of the latter):
+    few, whatever the corpus holds."""
+    least = max(1.0, WORD_SHARE * n)
+    words = F.array_distinct(F.flatten(F.transform("sentences", lambda s: F.split(s, " "))))
+    both = F.concat(
+        F.transform(F.array_distinct("sentences"), lambda s: F.struct(F.lit(True).alias("whole"), s.alias("value"))),
+        F.transform(F.filter(words, lambda w: ~w.rlike(r"\d$")), lambda w: F.struct(F.lit(False).alias("whole"), w.alias("value"))),
+    )
+    counts = texts.select(F.explode(both).alias("x")).groupBy("x.whole", "x.value").agg(F.count("*").alias("n"))
+    rows = counts.filter(F.col("n") >= F.when(F.col("whole"), F.lit(max(3.0, RIVAL * TALK_SHARE * n))).otherwise(F.lit(least))).collect()
+    return {r["value"]: r["n"] for r in rows if r["whole"]}, {r["value"]: r["n"] for r in rows if not r["whole"]}, least
+
+
 def classes_of(tasks: DataFrame) -> tuple[DataFrame, DataFrame, Verifier]:
-    """(members: task_no, class_id; classes: class_id, core, template, is_train, is_eval, s0..s3; the verifier)."""
+    """(members: task_no, class_id, source, is_train, eval_splits; classes: class_id, core, template, is_train, is_eval, bits, blocks; the verifier)."""
     rows = checkpointed(_sentences(tasks))
-    distinct = rows.select("sentences").distinct()  # a ticket counts once, however many copies it has
-    frequent = _frequent(distinct.select(F.explode(F.array_distinct("sentences")).alias("value")), max(3.0, TALK_SHARE * distinct.count()))
-    talk = [r["value"] for r in frequent if not any(map(has_number, r["value"].split()))]
+    texts = checkpointed(rows.select("sentences").distinct())  # a ticket counts once, however many copies it has
+    n = texts.count()
+    sentences, known, least = _frequent(texts, n)
     sc = rows.sparkSession.sparkContext
-    talk_b = sc.broadcast(talk)
+    shared = sc.broadcast((small_talk(sentences, max(3.0, TALK_SHARE * n)), known))
 
     @F.pandas_udf("string")
     def core(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = Talk(talk_b.value)
+        talk = Talk(*shared.value)
         for sentences in batches:
-            yield sentences.map(lambda x: known.core(list(x)))
+            yield sentences.map(lambda x: talk.core(list(x)))
 
     rows = rows.withColumn("core", core("sentences")).drop("sentences")
-    rows = checkpointed(rows.withColumn("class_id", F.sha2(F.concat_ws("\x00", F.coalesce(F.concat(F.lit("t"), F.col("template")), F.lit("n")), "core"), 256)))
-    cores = rows.select("core").distinct()
-    words = cores.select(F.explode(F.array_distinct(F.split("core", " "))).alias("value")).filter(~F.col("value").rlike(r"\d$"))
-    least = max(1.0, WORD_SHARE * cores.count())
-    known = {r["value"]: r["n"] for r in _frequent(words, least)}
-    verifier = Verifier(known, least, _naming(cores, known))
+    rows = checkpointed(rows.withColumn("class_id", F.unhex(F.md5(F.concat_ws("\x00", F.coalesce(F.concat(F.lit("t"), F.col("template")), F.lit("n")), "core")))))
 
-    @F.pandas_udf("array<long>")
-    def segments(cores: pd.Series) -> pd.Series:
-        return cores.map(fingerprint)
+    @F.pandas_udf("struct<bits:array<long>,blocks:array<long>>")
+    def fingerprints(cores: pd.Series) -> pd.DataFrame:
+        prints = [fingerprint(c) for c in cores]
+        return pd.DataFrame({"bits": [np.packbits(p[0]).view(">i8").astype(np.int64) if p else None for p in prints], "blocks": [blocks_of(*p) if p else None for p in prints]})
 
     classes = rows.groupBy("class_id").agg(
         F.first("core").alias("core"), F.first("template").alias("template"), F.max("is_train").alias("is_train"), F.max(F.size("eval_splits") > 0).alias("is_eval")
     )
-    classes = checkpointed(classes.withColumn("segments", segments("core")).filter(F.col("segments").isNotNull()))
-    return rows, classes, verifier
+    classes = checkpointed(classes.withColumn("p", fingerprints("core")).select("*", "p.bits", "p.blocks").drop("p").filter("bits is not null"))
+    return rows.drop("core", "template"), classes, Verifier(known, least, _naming(classes, known))
+
+
+def candidates(classes: DataFrame) -> DataFrame:
+    """Pairs (train_class, eval_class) whose templates fit and that share a block, each once."""
+    template, null = F.concat(F.lit("t"), F.col("template")), F.col("template").isNull()
+    # a template meets itself, a null one any: each side is found under the keys that the other looks under
+    left = F.when(null, F.array(F.lit("a"), F.lit("n"))).otherwise(F.array(template, F.lit("n")))
+    right = F.when(null, F.array(F.lit("n"))).otherwise(F.array(template, F.lit("a")))
+
+    def keyed(side: str, keys: Column, name: str) -> DataFrame:
+        rows = classes.filter(side).select(F.col("class_id").alias(name), keys.alias("keys"), "blocks")
+        return rows.select(name, "blocks", F.explode("keys").alias("key")).select(name, "key", F.explode("blocks").alias("block")).select(name, F.xxhash64("key", "block").alias("key"))
+
+    a, b = keyed("is_train", left, "train_class"), keyed("is_eval", right, "eval_class")
+    # a block of many classes is cut on both sides into parts of about HOT, and each part meets each of the other side
+    parts = {x: side.groupBy("key").agg(F.ceil(F.count("*") / HOT).cast("int").alias(x)) for x, side in (("train_parts", a), ("eval_parts", b))}
+    parts = parts["train_parts"].join(parts["eval_parts"], "key").filter("train_parts > 1 or eval_parts > 1")
+
+    def cut(side: DataFrame, name: str, mine: str, other: str) -> DataFrame:
+        number = lambda c: F.coalesce(c, F.lit(1))
+        side = side.join(parts, "key", "left").withColumn(f"{mine}_part", F.pmod(F.xxhash64(name), number(F.col(f"{mine}_parts"))).cast("int"))
+        return side.withColumn(f"{other}_part", F.explode(F.sequence(F.lit(0), number(F.col(f"{other}_parts")) - 1))).select("key", "train_part", "eval_part", name)
+
+    a, b = cut(a, "train_class", "train", "eval"), cut(b, "eval_class", "eval", "train")
+    return a.join(b, ["key", "train_part", "eval_part"]).select("train_class", "eval_class").distinct()
 
 
 def overlap_classes(classes: DataFrame, verifier: Verifier) -> DataFrame:
     """Verified pairs (train_class, eval_class)."""
-    slim = classes.select("class_id", "template", "segments", "is_train", "is_eval", F.posexplode("segments").alias("place", "segment"))
-    a = slim.filter("is_train").select("place", "segment", F.col("class_id").alias("train_class"), F.col("template").alias("train_template"), F.col("segments").alias("a"))
-    b = slim.filter("is_eval").select("place", "segment", F.col("class_id").alias("eval_class"), F.col("template").alias("eval_template"), F.col("segments").alias("b"))
-    fit = F.coalesce(F.col("train_template") == F.col("eval_template"), F.lit(True))
-    bits = [F.bit_count(F.col("a")[i].bitwiseXOR(F.col("b")[i])) for i in range(SEGMENTS)]
-    # each pair comes out once, at the first segment that its two sides share
-    first = F.array_position(F.transform(F.arrays_zip("a", "b"), lambda x: x["a"] == x["b"]), F.lit(True)) == F.col("place") + 1
-    near = a.join(b, ["place", "segment"]).filter(fit & first & (sum(bits[1:], bits[0]) <= RADIUS)).select("train_class", "eval_class")
-    cores = classes.select("class_id", "core")
-    pairs = near.join(cores.select(F.col("class_id").alias("train_class"), F.col("core").alias("x")), "train_class")
-    pairs = pairs.join(cores.select(F.col("class_id").alias("eval_class"), F.col("core").alias("y")), "eval_class")
+    texts = classes.select("class_id", "core", "template", "bits", (F.size("blocks") > BLOCKS).alias("plain"))
+    side = lambda name, x: texts.select(F.col("class_id").alias(name), F.struct("core", "template", "bits", "plain").alias(x))
+    pairs = candidates(classes).join(side("train_class", "x"), "train_class").join(side("eval_class", "y"), "eval_class")
+    fit = F.coalesce(F.col("x.template") == F.col("y.template"), F.lit(True))
+    away = [F.bit_count(F.col("x.bits")[i].bitwiseXOR(F.col("y.bits")[i])) for i in range(4)]
+    near = (F.col("x.plain") == F.col("y.plain")) & (sum(away[1:], away[0]) <= F.when(F.col("x.plain"), WORD_RADIUS).otherwise(RADIUS))
     shared = classes.sparkSession.sparkContext.broadcast((verifier.frequency, verifier.least, verifier.naming))
 
     @F.pandas_udf("boolean")
@@ -355,25 +446,36 @@ def overlap_classes(classes: DataFrame, verifier: Verifier) -> DataFrame:
         for x, y in batches:
             yield pd.Series([check.same(p, q) for p, q in zip(x, y)], dtype=bool)
 
-    return pairs.filter(same("x", "y")).select("train_class", "eval_class")
+    return pairs.filter(fit & near).filter(same("x.core", "y.core")).select("train_class", "eval_class")
 
 
-def split_overlaps(tasks: DataFrame, splits: DataFrame) -> DataFrame:
-    """All overlapping pairs (train_task, eval_task, source of the latter, its eval_splits)."""
+def overlap_pairs(tasks: DataFrame, splits: DataFrame) -> DataFrame:
+    """(task_no_a, task_no_b), a < b, each pair of tasks once: the classes expanded, as the last step."""
     rows, classes, verifier = classes_of(tasks_in_splits(tasks, splits))
-    found = overlap_classes(classes, verifier)
     a = rows.filter("is_train").select(F.col("class_id").alias("train_class"), F.col("task_no").alias("train_task"))
-    b = rows.filter(F.size("eval_splits") > 0).select(F.col("class_id").alias("eval_class"), F.col("task_no").alias("eval_task"), "source", "eval_splits")
-    return found.join(a, "train_class").join(b, "eval_class").filter("train_task <> eval_task").drop("train_class", "eval_class")
-
-
-def overlap_pairs(tasks: DataFrame, splits: DataFrame) -> DataFrame:
-    """(task_no_a, task_no_b), a < b, each pair once."""
-    pairs = split_overlaps(tasks, splits)
+    b = rows.filter(F.size("eval_splits") > 0).select(F.col("class_id").alias("eval_class"), F.col("task_no").alias("eval_task"))
+    pairs = overlap_classes(classes, verifier).join(a, "train_class").join(b, "eval_class").filter("train_task <> eval_task")
     return pairs.select(F.least("train_task", "eval_task").alias("task_no_a"), F.greatest("train_task", "eval_task").alias("task_no_b")).distinct()
 
 
 def overlap_report(tasks: DataFrame, splits: DataFrame) -> DataFrame:
-    """Per evaluation split and source: overlapping pairs and evaluation tasks that have one."""
-    pairs = split_overlaps(tasks, splits).withColumn("eval_split", F.explode("eval_splits"))
-    return pairs.groupBy("eval_split", "source").agg(F.count("*").alias("n_pairs"), F.countDistinct("eval_task").alias("n_eval_tasks"), F.countDistinct("train_task").alias("n_train_tasks"))
+    """Per evaluation split and source: overlapping pairs, and tasks of either side that are in one.
+
+    From the sizes of classes: a class pair has (train tasks) x (evaluation tasks) pairs, less those of a task with itself.
+    """
+    rows, classes, verifier = classes_of(tasks_in_splits(tasks, splits))
+    links = checkpointed(overlap_classes(classes, verifier))
+    group = ["eval_split", "source"]
+    train = rows.filter("is_train").groupBy(F.col("class_id").alias("train_class")).agg(F.count("*").alias("n_train"))
+    evals = rows.withColumn("eval_split", F.explode("eval_splits")).groupBy(F.col("class_id").alias("eval_class"), *group)
+    evals = evals.agg(F.count("*").alias("n_eval"), F.count_if("is_train").alias("n_both"))
+    both = links.join(train, "train_class").join(evals, "eval_class").withColumn("own", F.when(F.col("train_class") == F.col("eval_class"), F.col("n_both")).otherwise(F.lit(0)))
+    # an evaluation task that is a train task too has itself among the train tasks of its class
+    per_eval = both.groupBy("eval_class", *group).agg(
+        F.sum(F.col("n_train") * F.col("n_eval") - F.col("own")).alias("n_pairs"), F.max("n_eval").alias("n_eval"), F.max("own").alias("own"), F.sum("n_train").alias("n_train")
+    )
+    per_eval = per_eval.groupBy(*group).agg(F.sum("n_pairs").alias("n_pairs"), F.sum(F.when(F.col("n_train") > 1, F.col("n_eval")).otherwise(F.col("n_eval") - F.col("own"))).alias("n_eval_tasks"))
+    per_train = both.groupBy("train_class", *group).agg(F.max("n_train").alias("n_train"), F.max("own").alias("own"), F.sum("n_eval").alias("n_eval"))
+    per_train = per_train.groupBy(*group).agg(F.sum(F.when(F.col("n_eval") > 1, F.col("n_train")).otherwise(F.col("n_train") - F.col("own"))).alias("n_train_tasks"))
+    on = reduce(lambda x, y: x & y, (per_eval[c].eqNullSafe(per_train[c]) for c in group))
+    return per_eval.join(per_train, on).select(*(per_eval[c] for c in group), "n_pairs", "n_eval_tasks", "n_train_tasks").filter("n_pairs > 0")

@@ -251,6 +251,69 @@ def test_copies_make_no_small_talk(spark):
     assert {tuple(r) for r in overlaps.overlap_pairs(tasks, splits).collect()} == {(1, 3)}
 
 
+def test_alternatives_make_no_small_talk(spark):
+    """A sentence in every ticket that names one of a few values stays, however few they are; one that is the same in all goes."""
+    ticket = "Wartung {} am {:02d}.01.2026 ist gemeldet. Setze den Status bitte auf {} und bestätige mir das Werk {}. Der Drucker hier streikt schon wieder."
+    kinds = list(itertools.product(["geplant", "erledigt"], ["Lindenrain", "Oberlohe"]))
+    texts = {i: ticket.format(1000 + i, 1 + i % 28, *kinds[i % 4]) for i in range(100)}
+    texts |= {500: ticket.format(1000, 1, *kinds[1]), 501: ticket.format(1000, 1, *kinds[0]).replace(" Der Drucker hier streikt schon wieder.", ""), 502: ticket.format(1001, 2, *kinds[0])}
+    tasks = spark.createDataFrame([(n, f"k{n}", t, "a", "w", T0) for n, t in texts.items()], "task_no long, task_id string, ticket string, template string, source string, exported_at timestamp_ntz")
+    splits = spark.createDataFrame([("sft_val" if n >= 500 else "sft_train", f"k{n}") for n in texts], "split string, task_id string")
+    assert {tuple(r) for r in overlaps.overlap_pairs(tasks, splits).collect()} == {(0, 501)}
+
+
+def test_slips_in_tickets_without_values(spark):
+    """Near-copies of number-free tickets of ten words and more are met: at least 0.99 of those with one slip."""
+    rng = random.Random(14)
+    words = ["".join(rng.choice(c) for c in ("bdfgklmnprst", "aeiou") * 3) for _ in range(400)]
+    texts = [" ".join(rng.sample(words, rng.randint(10, 16))) for _ in range(400)]
+
+    def slipped(text):
+        at = rng.choice([i for i, c in enumerate(text[:-1]) if c != " " and text[i + 1] != " "])
+        return rng.choice([text[:at] + text[at + 1 :], text[:at] + text[at + 1] + text[at] + text[at + 2 :], text[:at] + "x" + text[at + 1 :]])
+
+    prints = [[overlaps.fingerprint(x) for x in (t, slipped(t))] for t in texts]
+    met = [len(np.intersect1d(overlaps.blocks_of(*a), overlaps.blocks_of(*b))) > 0 and np.count_nonzero(a[0] != b[0]) <= overlaps.WORD_RADIUS for a, b in prints]
+    assert sum(met) >= 0.99 * len(met)
+    apart = [len(np.intersect1d(overlaps.blocks_of(*a[0]), overlaps.blocks_of(*b[0]))) > 0 for a, b in itertools.combinations(prints[:100], 2)]
+    assert sum(apart) <= 0.05 * len(apart)
+    rows = [(i, f"k{i}", t, None, "w", T0) for i, t in enumerate(texts)] + [(1000 + i, f"k{1000 + i}", slipped(t), None, "w", T0) for i, t in enumerate(texts[:100])]
+    tasks = spark.createDataFrame(rows, "task_no long, task_id string, ticket string, template string, source string, exported_at timestamp_ntz")
+    splits = spark.createDataFrame([("sft_val" if r[0] >= 1000 else "sft_train", r[1]) for r in rows], "split string, task_id string")
+    _, classes, _ = overlaps.classes_of(overlaps.tasks_in_splits(tasks, splits))
+    assert overlaps.candidates(classes).count() >= 99
+
+
+def test_blocks_meet_all_within_the_radius():
+    rng = np.random.RandomState(3)
+    for _ in range(200):
+        a = rng.rand(256) < 0.5
+        b = a.copy()
+        b[rng.choice(256, overlaps.RADIUS, replace=False)] ^= True
+        assert len(np.intersect1d(overlaps.blocks_of(a, True), overlaps.blocks_of(b, True)))
+
+
+def test_report_counts_as_the_pairs_do(spark, monkeypatch):
+    """Sizes of classes give what the expanded pairs give, also for tasks in both splits; blocks cut into parts lose nothing."""
+    rng = random.Random(15)
+    rows = [(i, f"k{i}", f"Bitte prüfe, ob MA-000{rng.randrange(12)} am {1 + i % 3:02d}.02.2026 eingeteilt werden darf.", rng.choice(["a", "b", None]), rng.choice(["w", "x", None]), T0) for i in range(150)]
+    tasks = spark.createDataFrame(rows, "task_no long, task_id string, ticket string, template string, source string, exported_at timestamp_ntz")
+    where = [(s, r[1]) for r in rows for s in ("sft_train", "sft_val", "rl_val", "other") if rng.random() < 0.45]
+    splits = spark.createDataFrame(where, "split string, task_id string")
+    inside = {r[1]: {s for s, k in where if k == r[1]} for r in rows}
+    key = lambda r: r[2].split("MA-")[1][:14]
+    linked = [(a, b) for a in rows for b in rows if a[0] != b[0] and key(a) == key(b) and None in (a[3], b[3], None if a[3] == b[3] else "") and "sft_train" in inside[a[1]] and inside[b[1]] & {"sft_val", "rl_val"}]
+    want = {}
+    for a, b in linked:
+        for s in inside[b[1]] & {"sft_val", "rl_val"}:
+            want.setdefault((s, b[4]), []).append((a[0], b[0]))
+    for hot in (2000, 2):
+        monkeypatch.setattr(overlaps, "HOT", hot)
+        got = {(r["eval_split"], r["source"]): (r["n_pairs"], r["n_eval_tasks"], r["n_train_tasks"]) for r in overlaps.overlap_report(tasks, splits).collect()}
+        assert got == {k: (len(v), len({b for _, b in v}), len({a for a, _ in v})) for k, v in want.items()}
+        assert {tuple(r) for r in overlaps.overlap_pairs(tasks, splits).collect()} == {(min(a[0], b[0]), max(a[0], b[0])) for a, b in linked}
+
+
 @pytest.mark.parametrize("text, want", [("am 9.1.2026", "D20260109"), ("2026-01-09", "D20260109"), ("9. Januar 2026", "D20260109"), ("January 9, 2026", "D20260109"), ("um 8.39 Uhr", "T0839"), ("8 Uhr", "T0800"), ("3:05 pm", "T1505"), ("08:39", "T0839")])
 def test_dates_and_times(text, want):
     assert want in overlaps.tokens_of(overlaps.canonical(text))
