@@ -54,13 +54,13 @@ WAS_TWO = ("cp932", "gbk", "euc_jp", "euc_kr", "big5")
 #: A place is garbled if the cheapest text is cheaper by so much, and by so large a part of what the changed stretch costs.
 MARGIN, PART = 3.0, 0.3
 #: A place is restored if no other text comes so near to the cheapest.
-AHEAD = 0.4
+AHEAD = 0.3
 #: Garbled places from which on a text tells the alphabet of those that can be read in several ways.
 ENOUGH = 3
 #: A place is searched from so much above the cost of its characters on.
 SUSPECT = 1.9
 #: A text so little above the cost of its characters, for each of them, is not changed any further.
-PLAUSIBLE, PLAUSIBLE_EACH = 0.9, 0.45
+PLAUSIBLE, PLAUSIBLE_EACH = 0.9, 0.65
 #: A place of more characters is searched in parts.
 LONG = 200
 VOCABULARY = "byte_bpe_multi_50k"
@@ -157,7 +157,7 @@ def _unseen(c: str, before: str, after: str) -> int:
 
 def _letter_cost(c: str, before: str, after: str, strange: bool) -> float:
     left, right = kind(before), kind(after)
-    cost = (2.5 if strange else 1.0) + 0.2 * _unseen(c, before, after)
+    cost = (2.5 if strange else 1.0) + 0.3 * _unseen(c, before, after)
     if c.isupper():
         if before.islower() and left in "al":
             cost += 4
@@ -224,7 +224,7 @@ def cost_of(text: str) -> float:
                 total += 1 + 1.0 * bool(letters)
             else:
                 total += 1 + 5 * bool(letters) + 4 * (cased or mixed) + 3 * (right in "mhq") + 1.5 * single
-                total += (0.5 if script == "CYRILLIC" else 0.2) * _unseen(c, before, after)
+                total += (0.5 if script == "CYRILLIC" else 0.3) * _unseen(c, before, after)
         elif k == "k":
             total += (1 if left in "ok" else 4) + 1.5 * (bool(_PAIRS.letters) and c not in _PAIRS.letters)
         elif k == "q":
@@ -244,7 +244,7 @@ def cost_of(text: str) -> float:
         elif c in "¿¡" and left in "sp":
             total += 1
         else:
-            total += 1 + 4.5 * letters
+            total += 1 + 4.5 * letters + (c > "\u2190" and bool(_PAIRS.letters) and c not in _PAIRS.letters)
         # signs, quotes and dashes of several kinds in a row
         if k in "mqh" and left in "mqh" and before != c:
             total += 0.8
@@ -315,6 +315,14 @@ def _recase(text: str) -> str:
     return _RAISED.sub("â", raised)
 
 
+_CUT_SHORT = re.compile(f"â€(?!{_CONT})")
+
+
+def _quoted(text: str) -> str:
+    """The closing quote, whose last byte has no character in cp1252 and is often dropped."""
+    return _CUT_SHORT.sub("”", text)
+
+
 def _unblank(text: str) -> str:
     """A no-break space that became a blank is part of a character again."""
     return _SPACED.sub("Ã\xa0", text)
@@ -363,12 +371,20 @@ UNESCAPE = 0.5
 
 
 def _after(first: Callable[[str], str], second: Callable[[str], str]) -> Callable[[str], str]:
-    return lambda text: second(new) if (new := first(text)) != text else text
+    """Both steps; a text in small letters stays so."""
+
+    def run(text: str) -> str:
+        if (new := first(text)) == text:
+            return text
+        return second(new).lower() if text == text.lower() else second(new)
+
+    return run
 
 
 #: UTF-8 read as something else leaves sequences that hardly arise otherwise: where undoing it helps, nothing else is tried.
 SEQUENCES: list[Operation] = [(_reader(e), 0.1 + 0.02 * i) for i, e in enumerate(AS_READ)]
 SEQUENCES += [(_after(f, _reader(e)), 0.3 + 0.02 * i) for f in (_recase, _unblank) for i, e in enumerate(AS_READ[:2])]
+SEQUENCES += [(_quoted, 0.35)]
 #: Steps of which one ends a path.
 OTHERS: list[Operation] = [(_swapper(a, b, every), 0.4 + 0.02 * i + (not every) * 0.2) for i, (a, b) in enumerate(SWAPPED) for every in (True, False)]
 OTHERS += [(_lettered(_swapper(a, b, True)), 1.0 + 0.02 * i) for i, (a, b) in enumerate((a, b) for b in WAS_ONE for a in READ_ONE if a != b and (a, b) not in SWAPPED)]
