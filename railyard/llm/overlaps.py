@@ -3,9 +3,9 @@
 Method: similarity-hash bit fingerprints. Each ticket gets a 256-bit SimHash of its words and of its values (numbers,
 dates, times, each in one spelling, and neighbouring pairs of them), a value weighing VALUE_WEIGHT words, since a
 changed value makes another request and a changed word need not. The fingerprint is cut into eight blocks of 32
-bits; tickets of the training split and of the evaluation splits that share a block, and whose templates fit, are
-joined: by the pigeonhole principle all pairs within a Hamming radius of 7. Candidates are verified on the texts,
-then counted by split and source.
+bits; tickets of the training split and of the evaluation splits that share a block are joined: by the pigeonhole
+principle all pairs within a Hamming radius of 7. Candidates are verified on templates and texts, then counted by split
+and source.
 
 A ticket without any value has only words, and one slip turns about a tenth of its bits, so it is fingerprinted by
 the letter triples of its words and met through blocks of 20 bits of PERMUTATIONS permuted copies of the
@@ -40,10 +40,11 @@ from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import reduce
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railyard.core import bound, checkpointed, clean_label
@@ -78,10 +79,10 @@ DATE_NAMED = re.compile(rf"(?<!\w)({_NAMES})\.?\s+(\d{{1,2}})(?:st|nd|rd|th)?,?\
 TIME = re.compile(r"(?<![\w.:])(\d{1,2})\s?[:.]\s?(\d{2})(?::00)?(?![\d:]|\.\d)(?:\s?(am|pm|a\.m\.|p\.m\.)(?!\w))?(?:\s?(?:uhr|h)\b)?")
 HOUR = re.compile(r"(?<!\w)(\d{1,2})\s?uhr(?:\s?(\d{2})(?!\d))?")
 AM_PM = re.compile(r"(?<![\w.:])(\d{1,2})\s?(am|pm)(?!\w)")
+DIGIT = re.compile(r"\d")
 TOKEN = re.compile(r"[DT]\d+|[^\W\d_]+|\d+")
 SENTENCE = re.compile(r"[.!?]+(?=\s|$)|\n\s*\n")
 GREETING = re.compile(r"^((?:[^\W\d_]+ ){0,2}[^\W\d_]+)\s?[,!:]+\s")
-UMLAUTS = str.maketrans({"ä": "ae", "ö": "oe", "ü": "ue"})
 INVISIBLE = re.compile("[­​-‏‪-‮⁠-⁤﻿]")
 
 
@@ -96,8 +97,10 @@ def _time(h: str, m: str | None, half: str | None = None) -> str:
 
 def canonical(text: str) -> str:
     """One spelling of letters, dates and times; dates become D20260131, times T0912."""
-    text = unicodedata.normalize("NFKC", INVISIBLE.sub("", text)).casefold().translate(UMLAUTS)
+    text = unicodedata.normalize("NFKC", INVISIBLE.sub("", text)).casefold().replace("ä", "ae").replace("ö", "oe").replace("ü", "ue")
     text = re.sub(r"[^\S\n]+", " ", text)
+    if not DIGIT.search(text):
+        return text
     text = ISO_DATE.sub(lambda m: _date(*m.groups()), text)
     text = NAMED_DATE.sub(lambda m: _date(m[3], MONTHS[m[2]], m[1]), text)
     text = DATE_NAMED.sub(lambda m: _date(m[3], MONTHS[m[1]], m[2]), text)
@@ -145,19 +148,31 @@ def small_talk(counts: dict[str, int], least: float) -> list[str]:
 class Talk:
     """Knows the frequent sentences and takes them out of a ticket, also where they have slips. frequency: tickets per frequent word."""
 
-    def __init__(self, frequent: list[str], frequency: dict[str, int]):
-        self.exact, self.frequency = set(frequent), frequency
-        self.bags = [frozenset(s.split()) for s in frequent if len(s.split()) > 3]
+    def __init__(self, frequent: list[str], frequency: dict[str, int], least: float):
+        self.exact, self.frequency, self.least = set(frequent), frequency, least
         self.phrases = sorted((f" {s} " for s in frequent if len(s.split()) > 3), key=len, reverse=True)
+        self.any = ahocorasick.Automaton()
+        for p in self.phrases:
+            self.any.add_word(p, p)
+        self.any.make_automaton()
+        # a frequent sentence shares at least one of any half of its words and one more with a sentence that is it, reworded
+        self.by_word: dict[str, list[str]] = {}
+        for s in frequent:
+            words = sorted(set(s.split()), key=lambda w: (frequency.get(w, 0), w))
+            for w in words[: int(len(words) * (1 - TALK_ALIKE)) + 1] if len(s.split()) > 3 else ():
+                self.by_word.setdefault(w, []).append(s)
         self.known: dict[str, bool] = {}
 
-    def reworded(self, words: frozenset[str], bag: frozenset[str]) -> bool:
-        """Whether a sentence is a frequent one with slips or rare words; a word about as frequent as those it stands for is a value."""
-        if len(words & bag) < TALK_ALIKE * max(len(words), len(bag)):
+    def reworded(self, words: list[str], talk: list[str]) -> bool:
+        """Whether a sentence is a frequent one in other words: at least half are the same, and no words stand for others about as frequent, as values do."""
+        if len(set(words) & set(talk)) < TALK_ALIKE * max(len(set(words)), len(set(talk))):
             return False
-        gone = bag - words
-        least = min((self.frequency.get(y, 0) for y in gone), default=0)
-        return all(self.frequency.get(x, 0) < RIVAL * least or x not in self.frequency or any(slip(x, y) for y in gone) for x in words - bag)
+        for op, i, j, k, m in SequenceMatcher(None, talk, words, autojunk=False).get_opcodes():
+            if op == "replace":
+                x, y = (min(self.frequency.get(w, self.least / 2) for w in part) for part in (talk[i:j], words[k:m]))
+                if min(x, y) >= RIVAL * max(x, y) and not slip(" ".join(talk[i:j]), " ".join(words[k:m])):
+                    return False
+        return True
 
     def is_talk(self, sentence: str) -> bool:
         if sentence in self.exact:
@@ -165,8 +180,9 @@ class Talk:
         if sentence not in self.known:
             if len(self.known) > 200_000:
                 self.known.clear()
-            words = frozenset(sentence.split())
-            self.known[sentence] = not any(map(has_number, words)) and any(self.reworded(words, b) for b in self.bags)
+            words = sentence.split()
+            near = {b for w in words for b in self.by_word.get(w, ())} if not any(map(has_number, words)) else ()
+            self.known[sentence] = any(self.reworded(words, b.split()) for b in near)
         return self.known[sentence]
 
     def core(self, sentences: list[str]) -> str:
@@ -176,9 +192,10 @@ class Talk:
             if self.is_talk(s):
                 continue
             s = f" {s} "
-            for p in self.phrases:
-                if p in s:
-                    s = s.replace(p, " ")
+            if len(self.any) and next(self.any.iter(s), None):
+                for p in self.phrases:
+                    if p in s:
+                        s = s.replace(p, " ")
             if s.strip():
                 rest.append(s.strip())
         return " ".join(rest or sentences)
@@ -193,27 +210,35 @@ def _bits(feature: str) -> np.ndarray:
         if len(_BITS) > 200_000:
             _BITS.clear()
         raw = np.frombuffer(xxhash.xxh3_128_digest(feature.encode(), 1) + xxhash.xxh3_128_digest(feature.encode(), 2), np.uint8)
-        b = _BITS[feature] = np.unpackbits(raw).astype(np.int16) * 2 - 1
+        b = _BITS[feature] = np.unpackbits(raw).astype(np.int8) * 2 - 1
     return b
 
 
-def fingerprint(core: str) -> tuple[np.ndarray, bool] | None:
-    """The 256 bits of the SimHash, and whether the text has values."""
-    words = core.split()
-    if not words:
-        return None
-    values = sorted({w for w in words if has_number(w)})
-    total = np.zeros(256, np.int64)
+def features(core: str) -> tuple[list[str], list[str]]:
+    """(words or letter triples, values and neighbouring pairs of them) of a text; the latter are empty where it has no value."""
+    words = set(core.split())
+    values = sorted(filter(has_number, words))
     if values:
-        for f in {w for w in words if not has_number(w)}:
-            total += _bits(f)
         # pairs of values keep one of few (a date that many tickets have) from ruling the sum
-        for f in (*values, *(f"{a} {b}" for a, b in zip(values, values[1:]))):
-            total += VALUE_WEIGHT * _bits(f)
-    else:
-        for f in Counter(t for w in words for t in (f" {w} "[i : i + 3] for i in range(len(w)))):
-            total += _bits(f)
-    return total > 0, bool(values)
+        return sorted(words.difference(values)), [*values, *(f"{a} {b}" for a, b in zip(values, values[1:]))]
+    return sorted({f" {w} "[i : i + 3] for w in words for i in range(len(w))}), []
+
+
+def fingerprints(cores: list[str]) -> list[tuple[np.ndarray, bool] | None]:
+    """For each text the 256 bits of the SimHash, and whether it has values; None for a text without words."""
+    out: list[tuple[np.ndarray, bool] | None] = []
+    for at in range(0, len(cores), 512):
+        found = [features(c) for c in cores[at : at + 512]]
+        rows = [_bits(f) for few, many in found for f in (*few, *many)]
+        weights = [w for few, many in found for w in (*[1] * len(few), *[VALUE_WEIGHT] * len(many))]
+        sizes = np.array([len(few) + len(many) for few, many in found])
+        totals = np.zeros((len(found), 256), np.int32)
+        if rows:
+            weighted = np.stack(rows).astype(np.int16)
+            weighted *= np.array(weights, np.int16)[:, None]
+            totals[sizes > 0] = np.add.reduceat(weighted, (np.cumsum(sizes) - sizes)[sizes > 0], axis=0, dtype=np.int32)
+        out += [(t > 0, bool(many)) if few or many else None for t, (few, many) in zip(totals, found)]
+    return out
 
 
 _ORDER = np.concatenate([np.random.RandomState(seed).permutation(256)[: 256 // WORD_BLOCK * WORD_BLOCK] for seed in range(PERMUTATIONS)])
@@ -382,7 +407,7 @@ def classes_of(tasks: DataFrame) -> tuple[DataFrame, DataFrame, Verifier]:
     n = texts.count()
     sentences, known, least = _frequent(texts, n)
     sc = rows.sparkSession.sparkContext
-    shared = sc.broadcast((small_talk(sentences, max(3.0, TALK_SHARE * n)), known))
+    shared = sc.broadcast((small_talk(sentences, max(3.0, TALK_SHARE * n)), known, least))
 
     @F.pandas_udf("string")
     def core(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -394,40 +419,32 @@ def classes_of(tasks: DataFrame) -> tuple[DataFrame, DataFrame, Verifier]:
     rows = checkpointed(rows.withColumn("class_id", F.unhex(F.md5(F.concat_ws("\x00", F.coalesce(F.concat(F.lit("t"), F.col("template")), F.lit("n")), "core")))))
 
     @F.pandas_udf("struct<bits:array<long>,blocks:array<long>>")
-    def fingerprints(cores: pd.Series) -> pd.DataFrame:
-        prints = [fingerprint(c) for c in cores]
-        return pd.DataFrame({"bits": [np.packbits(p[0]).view(">i8").astype(np.int64) if p else None for p in prints], "blocks": [blocks_of(*p) if p else None for p in prints]})
+    def prints(cores: pd.Series) -> pd.DataFrame:
+        found = fingerprints(cores.tolist())
+        return pd.DataFrame({"bits": [np.packbits(p[0]).view(">i8").astype(np.int64) if p else None for p in found], "blocks": [blocks_of(*p) if p else None for p in found]})
 
     classes = rows.groupBy("class_id").agg(
         F.first("core").alias("core"), F.first("template").alias("template"), F.max("is_train").alias("is_train"), F.max(F.size("eval_splits") > 0).alias("is_eval")
     )
-    classes = checkpointed(classes.withColumn("p", fingerprints("core")).select("*", "p.bits", "p.blocks").drop("p").filter("bits is not null"))
+    classes = checkpointed(classes.withColumn("p", prints("core")).select("*", "p.bits", "p.blocks").drop("p").filter("bits is not null"))
     return rows.drop("core", "template"), classes, Verifier(known, least, _naming(classes, known))
 
 
 def candidates(classes: DataFrame) -> DataFrame:
-    """Pairs (train_class, eval_class) whose templates fit and that share a block, each once."""
-    template, null = F.concat(F.lit("t"), F.col("template")), F.col("template").isNull()
-    # a template meets itself, a null one any: each side is found under the keys that the other looks under
-    left = F.when(null, F.array(F.lit("a"), F.lit("n"))).otherwise(F.array(template, F.lit("n")))
-    right = F.when(null, F.array(F.lit("n"))).otherwise(F.array(template, F.lit("a")))
-
-    def keyed(side: str, keys: Column, name: str) -> DataFrame:
-        rows = classes.filter(side).select(F.col("class_id").alias(name), keys.alias("keys"), "blocks")
-        return rows.select(name, "blocks", F.explode("keys").alias("key")).select(name, "key", F.explode("blocks").alias("block")).select(name, F.xxhash64("key", "block").alias("key"))
-
-    a, b = keyed("is_train", left, "train_class"), keyed("is_eval", right, "eval_class")
-    # a block of many classes is cut on both sides into parts of about HOT, and each part meets each of the other side
-    parts = {x: side.groupBy("key").agg(F.ceil(F.count("*") / HOT).cast("int").alias(x)) for x, side in (("train_parts", a), ("eval_parts", b))}
-    parts = parts["train_parts"].join(parts["eval_parts"], "key").filter("train_parts > 1 or eval_parts > 1")
-
-    def cut(side: DataFrame, name: str, mine: str, other: str) -> DataFrame:
-        number = lambda c: F.coalesce(c, F.lit(1))
-        side = side.join(parts, "key", "left").withColumn(f"{mine}_part", F.pmod(F.xxhash64(name), number(F.col(f"{mine}_parts"))).cast("int"))
-        return side.withColumn(f"{other}_part", F.explode(F.sequence(F.lit(0), number(F.col(f"{other}_parts")) - 1))).select("key", "train_part", "eval_part", name)
-
-    a, b = cut(a, "train_class", "train", "eval"), cut(b, "eval_class", "eval", "train")
-    return a.join(b, ["key", "train_part", "eval_part"]).select("train_class", "eval_class").distinct()
+    """Pairs (train_class, eval_class) that share a block, each once."""
+    keys = classes.select("class_id", "is_train", "is_eval", F.explode("blocks").alias("block"))
+    # most blocks are of one class only and go no further than this count; a block of many classes is cut on both sides into
+    # parts of about HOT, and each part meets each of the other side
+    parts = keys.groupBy("block").agg(F.count_if("is_train").alias("n_train"), F.count_if("is_eval").alias("n_eval")).filter("n_train > 0 and n_eval > 0")
+    parts = parts.select("block", *(F.ceil(F.col(f"n_{x}") / HOT).cast("int").alias(f"{x}_parts") for x in ("train", "eval")))
+    keys = keys.join(parts, "block")
+
+    def cut(mine: str, other: str) -> DataFrame:
+        rows = keys.filter(f"is_{mine}").withColumn(f"{mine}_part", F.pmod(F.xxhash64("class_id"), F.col(f"{mine}_parts")).cast("int"))
+        rows = rows.withColumn(f"{other}_part", F.explode(F.sequence(F.lit(0), F.col(f"{other}_parts") - 1)))
+        return rows.select("block", "train_part", "eval_part", F.col("class_id").alias(f"{mine}_class"))
+
+    return cut("train", "eval").join(cut("eval", "train"), ["block", "train_part", "eval_part"]).select("train_class", "eval_class").distinct()
 
 
 def overlap_classes(classes: DataFrame, verifier: Verifier) -> DataFrame:

@@ -272,7 +272,7 @@ def test_slips_in_tickets_without_values(spark):
         at = rng.choice([i for i, c in enumerate(text[:-1]) if c != " " and text[i + 1] != " "])
         return rng.choice([text[:at] + text[at + 1 :], text[:at] + text[at + 1] + text[at] + text[at + 2 :], text[:at] + "x" + text[at + 1 :]])
 
-    prints = [[overlaps.fingerprint(x) for x in (t, slipped(t))] for t in texts]
+    prints = [overlaps.fingerprints([t, slipped(t)]) for t in texts]
     met = [len(np.intersect1d(overlaps.blocks_of(*a), overlaps.blocks_of(*b))) > 0 and np.count_nonzero(a[0] != b[0]) <= overlaps.WORD_RADIUS for a, b in prints]
     assert sum(met) >= 0.99 * len(met)
     apart = [len(np.intersect1d(overlaps.blocks_of(*a[0]), overlaps.blocks_of(*b[0]))) > 0 for a, b in itertools.combinations(prints[:100], 2)]
