@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from railyard.core import checkpointed
 
 def draw(seed: str, key: Column | str) -> Column:
     """Hex digest that orders the rows at random; equal to sha256 of 'seed|key' anywhere else."""
@@ -36,6 +37,19 @@ def draw_unit(seed: str, key: Column | str) -> Column:
     return F.conv(F.substring(draw(seed, key), 1, 13), 16, 10).cast("long") / F.lit(float(16**13))
 
 
+def with_caps(df: DataFrame, caps: DataFrame, group: str, cap: str) -> DataFrame:
+    """``df`` with the cap of its group, null for no limit; a group that the caps do not name is an error."""
+    c = caps.select(F.col(group).alias("_g"), F.col(cap).alias("_cap"), F.lit(True).alias("_known"))
+    out = df.join(c, F.col(group).eqNullSafe(F.col("_g")), "left")
+    missing = F.raise_error(F.concat(F.lit(f"no cap for {group} "), F.coalesce(F.col(group).cast("string"), F.lit("null"))))
+    return out.withColumn(cap, F.when(F.col("_known").isNull(), missing.cast(caps.schema[cap].dataType)).otherwise(F.col("_cap"))).drop("_g", "_cap", "_known")
+
+
+def uniform_sample(df: DataFrame, key: str, n: int, seed: str) -> DataFrame:
+    """n rows of the whole by hash; each task keeps n rows before they meet."""
+    return df.withColumn("_draw", draw(seed, key)).orderBy("_draw").limit(n).drop("_draw")
+
+
 def capped_stratified(df: DataFrame, group: str, strata: list[str], cap: str, key: str, seed: str) -> DataFrame:
     """Rows of each group up to its cap, in proportion to its strata.
 
@@ -50,7 +64,7 @@ def capped_stratified(df: DataFrame, group: str, strata: list[str], cap: str, ke
     over = F.col("_n") > F.col(cap)
     seats = F.when(over, F.col("_floor") + (F.col("_rank") <= F.col("_left")).cast("int")).otherwise(F.col("_size"))
     plan = plan.withColumn("_seats", seats).select(group, *strata, "_seats", (F.coalesce(over, F.lit(False)) & (F.col("_seats") < F.col("_size"))).alias("_cut"))
-    rows = df.join(plan, [group, *strata])
+    rows = checkpointed(df.join(plan, [group, *strata]))  # read for the whole groups, the slices and the draw
     whole = rows.filter(~F.col("_cut"))
     cut = hashed_rank(rows.filter("_cut"), [group, *strata], draw(seed, key), "_rank").filter("_rank <= _seats").drop("_rank", "_rank_of")
     return whole.unionByName(cut).drop("_seats", "_cut")

@@ -88,7 +88,7 @@ def duplicate_ratio(text: Column, n: int = 8, least: int = 32) -> Column:
     words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
 
     def ratio(w: Column) -> Column:
-        grams = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))
+        grams = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.xxhash64(F.slice(w, i, n)))  # equal grams are told by their hash
         return F.when(F.size(w) >= least, bound(grams, lambda g: F.bround(1.0 - F.size(F.array_distinct(g)) / F.size(g), 3))).otherwise(F.lit(0.0))
 
     return bound(words, ratio)

@@ -26,17 +26,19 @@ def running_call_ids(spark, sf):
 
 
 @query("result_binding", f"""with {MESSAGES},
-c as (select chat_id, pos, row_number() over (partition by chat_id order by pos) as k from messages where role = 'assistant' and trim(content) = ''),
-r as (select chat_id, pos, row_number() over (partition by chat_id order by pos) as k from messages where role = 'tool'),
-b as (select r.chat_id, r.k, c.pos as call, r.pos as result from r left join c on c.chat_id = r.chat_id and c.k = r.k),
-good as (select chat_id from b group by chat_id having bool_and(call is not null and call < result)),
-n as (select chat_id, count(*) as n from c group by chat_id)
-select chat_id, string_agg(call::varchar || '>' || result::varchar, ' ' order by k) as bound, (any_value(n.n) - count(*))::int as waiting
-from b join good using (chat_id) join n using (chat_id) group by chat_id""")
+e as (select chat_id, pos, case when role = 'tool' then -1 when role = 'assistant' and trim(content) = '' then 1 else 0 end as step from messages),
+s as (select *, sum(step) over w as open, count(*) filter (step = 1) over w as calls, count(*) filter (step = -1) over w as results from e window w as (partition by chat_id order by pos)),
+o as (select *, greatest(0, -min(open) over (partition by chat_id order by pos))::bigint as lost from s),
+q as (select *, lost - coalesce(lag(lost) over (partition by chat_id order by pos), 0) as is_lost from o),
+b as (select q.chat_id, c.pos as call, q.pos as result from q join q c on c.chat_id = q.chat_id and c.step = 1 and c.calls = q.results - q.lost where q.step = -1 and q.is_lost = 0),
+n as (select chat_id, max(lost)::int as orphans, max(calls) as calls from q group by chat_id),
+t as (select chat_id, string_agg(call::varchar || '>' || result::varchar, ' ' order by result) as bound, count(*) as n from b group by chat_id)
+select chat_id, coalesce(bound, '') as bound, orphans, (calls - coalesce(n, 0))::int as waiting from n left join t using (chat_id)""")
 def result_binding(spark, sf):
-    c = table(spark, sf, "areal_chat").select("chat_id", op.bind_results(F.col("messages")).alias("b")).filter("b.orphans = 0 and size(b.bound) > 0")
+    """Every chat with messages, those with results that no call waits for too."""
+    c = table(spark, sf, "areal_chat").filter("size(messages) > 0").select("chat_id", op.bind_results(F.col("messages")).alias("b"))
     text = F.array_join(F.transform("b.bound", lambda p: F.concat_ws(">", p["call"], p["result"])), " ")
-    return c.select("chat_id", text.alias("bound"), F.col("b.waiting").alias("waiting"))
+    return c.select("chat_id", text.alias("bound"), F.col("b.orphans").alias("orphans"), F.col("b.waiting").alias("waiting"))
 
 
 @query("domain_fallback", """select chat_id, coalesce(domain_name, nullif(split_part(dialog_id, '-', 1), ''), case when contains(messages::varchar, 'flight') then 'airline' end) as domain_name, domain_name is null as derived from areal_chat""")
@@ -84,19 +86,10 @@ def parent_stations(spark, sf):
     return op.parents(s, "s_suppkey", "s_nationkey", n, "n_nationkey").select("s_suppkey", "station")
 
 
-@query("dependency_closure", """with i as (select o_orderkey, o_custkey as place, [o_orderkey - 1, o_orderkey // 2] as needs from orders where o_orderstatus = 'P' and o_orderkey % 50 = 0),
+@query("dependency_closure", """with i as (select o_orderkey, o_custkey as place, [o_orderkey - 1, o_orderkey // 2] as needs from orders where o_orderstatus = 'P'),
 e as (select unnest(list_append(needs, o_orderkey)) as o_orderkey, place from i)
 select o_orderkey, min(place) as place from e group by o_orderkey""")
 def dependency_closure(spark, sf):
-    key = F.col("o_orderkey")
-    i = table(spark, sf, "orders").filter("o_orderstatus = 'P' and o_orderkey % 50 = 0").select("o_orderkey", F.col("o_custkey").alias("place"), F.array(key - 1, F.expr("o_orderkey div 2")).alias("needs"))
-    return op.closure(i, "o_orderkey", "needs")
-
-
-@query("dependency_closure_full", """with i as (select o_orderkey, o_custkey as place, [o_orderkey - 1, o_orderkey // 2] as needs from orders where o_orderstatus = 'P'),
-e as (select unnest(list_append(needs, o_orderkey)) as o_orderkey, place from i)
-select o_orderkey, min(place) as place from e group by o_orderkey""")
-def dependency_closure_full(spark, sf):
     """Over all orders of status P."""
     key = F.col("o_orderkey")
     i = table(spark, sf, "orders").filter("o_orderstatus = 'P'").select("o_orderkey", F.col("o_custkey").alias("place"), F.array(key - 1, F.expr("o_orderkey div 2")).alias("needs"))
@@ -175,20 +168,10 @@ def crew_lookup(spark, sf):
     return o.select("o_orderkey", "o_custkey", F.coalesce("c_name", F.concat(F.lit("id "), F.col("o_custkey").cast("string"))).alias("name"))
 
 
-@query("delay_overlay", f"""with {STOPS}, o as (select 'e' || (l_orderkey % 3)::varchar as episode, l_orderkey, l_linenumber, 900.0 as late from stops where l_orderkey % 100 < 3 and l_linenumber = 2),
+@query("delay_overlay", f"""with {STOPS}, o as (select coalesce(l_returnflag, '?') as episode, l_orderkey, l_linenumber, l_quantity + 900.0 as late from stops),
 x as (select t.episode, s.l_orderkey, s.l_linenumber, coalesce(o.late, s.l_quantity) as q from stops s join (select distinct episode, l_orderkey from o) t using (l_orderkey) left join o on o.episode = t.episode and o.l_orderkey = s.l_orderkey and o.l_linenumber = s.l_linenumber)
 select episode, l_orderkey, arg_max(l_linenumber, (q, -l_linenumber)) as at_seq, max(q)::double as delay from x group by all""")
 def delay_overlay(spark, sf):
-    base = stops(spark, sf).select("l_orderkey", "l_linenumber", "l_quantity")
-    over = base.filter("l_orderkey % 100 < 3 and l_linenumber = 2").select(F.concat(F.lit("e"), (F.col("l_orderkey") % 3).cast("string")).alias("episode"), "l_orderkey", "l_linenumber", F.lit(900.0).alias("l_quantity"))
-    x = op.overlaid(base, over, ["l_orderkey", "l_linenumber"], "episode", "l_quantity").withColumn("k", F.struct("episode", "l_orderkey"))
-    return world.worst(x, "k", "l_linenumber", "l_quantity").select("k.episode", "k.l_orderkey", "at_seq", "delay")
-
-
-@query("delay_overlay_full", f"""with {STOPS}, o as (select coalesce(l_returnflag, '?') as episode, l_orderkey, l_linenumber, l_quantity + 900.0 as late from stops),
-x as (select t.episode, s.l_orderkey, s.l_linenumber, coalesce(o.late, s.l_quantity) as q from stops s join (select distinct episode, l_orderkey from o) t using (l_orderkey) left join o on o.episode = t.episode and o.l_orderkey = s.l_orderkey and o.l_linenumber = s.l_linenumber)
-select episode, l_orderkey, arg_max(l_linenumber, (q, -l_linenumber)) as at_seq, max(q)::double as delay from x group by all""")
-def delay_overlay_full(spark, sf):
     """Over all trips: an episode for each return flag, in which the stops with that flag are late."""
     base = stops(spark, sf).select("l_orderkey", "l_linenumber", "l_quantity", F.coalesce("l_returnflag", F.lit("?")).alias("episode"))
     over = base.select("episode", "l_orderkey", "l_linenumber", (F.col("l_quantity") + 900.0).alias("l_quantity"))

@@ -13,24 +13,9 @@ from railyard.plans.registry import query
 from railyard.plans.views import CALLS, calls
 
 
-@query("tool_call_extract", f"""with {CALLS}, v as (select * from calls where json_valid(arguments) and seq <= 2),
-n as (select *, row_number() over (partition by trace_id order by seq, call_id) - 1 as pos from v)
-select trace_id, pos::int as pos, tool_name as name from n""")
-def tool_call_extract(spark, sf):
-    from railyard.functions.tables import register
-
-    register(spark)
-    c = calls(spark, sf).filter("seq <= 2").filter(F.try_parse_json("arguments").isNotNull())
-    block = F.concat(F.lit('<tool_call>{"name": "'), F.col("tool_name"), F.lit('", "arguments": '), F.col("arguments"), F.lit("}</tool_call>"))
-    t = c.groupBy("trace_id").agg(F.array_sort(F.collect_list(F.struct("seq", "call_id", block.alias("b")))).alias("a"))
-    t = t.select("trace_id", F.concat(F.lit("Ich sehe nach. "), F.array_join(F.transform("a", lambda x: x["b"]), "\n")).alias("text"))
-    t.createOrReplaceTempView("railyard_calls_text")
-    return spark.sql("select trace_id, x.pos, x.name from railyard_calls_text, lateral extract_calls(text) x")
-
-
-@query("tool_call_extract_full", f"""with {CALLS}
+@query("tool_call_extract", f"""with {CALLS}
 select trace_id, (row_number() over (partition by trace_id order by seq, call_id) - 1)::int as pos, tool_name as name from calls where json_valid(arguments)""")
-def tool_call_extract_full(spark, sf):
+def tool_call_extract(spark, sf):
     """All calls of a trace, those with broken arguments too, which the parser has to skip."""
     from railyard.functions.tables import register
 
@@ -38,28 +23,13 @@ def tool_call_extract_full(spark, sf):
     block = lambda c: F.concat(F.lit('<tool_call>{"name": "'), c["tool_name"], F.lit('", "arguments": '), c["arguments"], F.lit("}</tool_call>"))
     t = table(spark, sf, "db_traces_chat").select("trace_id", F.array_sort(F.transform(F.array_distinct("tool_calls"), lambda c: F.struct(c["seq"].alias("seq"), c["call_id"].alias("call_id"), block(c).alias("b")))).alias("a"))
     t = t.select("trace_id", F.concat(F.lit("Ich sehe nach. "), F.array_join(F.transform("a", lambda x: x["b"]), "\n")).alias("text"))
-    t.createOrReplaceTempView("railyard_all_calls_text")
-    return spark.sql("select trace_id, x.pos, x.name from railyard_all_calls_text, lateral extract_calls(text) x")
+    t.createOrReplaceTempView("railyard_calls_text")
+    return spark.sql("select trace_id, x.pos, x.name from railyard_calls_text, lateral extract_calls(text) x")
 
 
 @query("bracket_dsl", f"""with {CALLS}
-select trace_id, seq, tool_name as name, json_extract_string(arguments, '$.zugnummer') as zug from calls where tool_name = 'fahrplan' and json_valid(arguments) and json_extract_string(arguments, '$.zugnummer') is not null
-  and not contains(json_extract_string(arguments, '$.zugnummer'), '"')""")
-def bracket_dsl(spark, sf):
-    @F.pandas_udf("array<struct<name string, arguments string>>")
-    def parse(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: bracket_calls(t) if t is not None else None)
-
-    zug = F.get_json_object("arguments", "$.zugnummer")
-    c = calls(spark, sf).filter("tool_name = 'fahrplan'").filter(F.try_parse_json("arguments").isNotNull()).filter(zug.isNotNull() & ~F.contains(zug, F.lit('"')))
-    text = F.concat(F.lit('[fahrplan(zugnummer="'), zug, F.lit('", tage=[1, (2)], art="a,b)")]'))
-    got = c.select("trace_id", "seq", F.explode(parse(text)).alias("p"))
-    return got.select("trace_id", "seq", "p.name", F.get_json_object("p.arguments", "$.zugnummer").alias("zug"))
-
-
-@query("bracket_dsl_full", f"""with {CALLS}
 select trace_id, seq, tool_name as name, json_extract_string(arguments, '$.zugnummer') as zug from calls where tool_name = 'fahrplan' and json_valid(arguments) and json_extract_string(arguments, '$.zugnummer') is not null""")
-def bracket_dsl_full(spark, sf):
+def bracket_dsl(spark, sf):
     """Values with quotes and backslashes too, written as JSON writes them."""
 
     @F.pandas_udf("array<struct<name string, arguments string>>")
@@ -107,26 +77,12 @@ def leaf_texts(spark, sf):
     return s.groupBy((F.length("leaf") >= 30).alias("long")).agg(F.count("*").alias("n"), F.countDistinct("leaf").alias("n_distinct"))
 
 
-@query("segment_episode", """select chat_id, (i - 1)::int as pos, messages[i].role as role, trim(messages[i].content) as content
-from (select chat_id, messages, unnest(range(1, len(messages) + 1)) as i from areal_chat
-      where len(list_filter(messages, lambda m: m.role = 'tool' or m.content is null or contains(m.content, '<|') or regexp_matches(m.content, '(^\\s)|(\\s$)|\\{|\\[|^$'))) = 0)""")
-def segment_episode(spark, sf):
-    from railyard.functions.tables import register
-
-    register(spark)
-    odd = lambda m: (m["role"] == "tool") | m["content"].isNull() | F.contains(m["content"], F.lit("<|")) | m["content"].rlike(r"(^\s)|(\s$)|\{|\[|^$")
-    c = table(spark, sf, "areal_chat").filter(F.size("messages") > 0).filter(~F.exists("messages", odd))
-    text = F.array_join(F.transform("messages", lambda m: F.concat(F.lit("<|"), m["role"], F.lit("|>"), m["content"])), "\n")
-    c.select("chat_id", text.alias("text")).createOrReplaceTempView("railyard_episode_text")
-    return spark.sql("select chat_id, x.pos, x.role, x.content from railyard_episode_text, lateral segment_episode(text) x")
-
-
 #: How a call without a name stands in a text.
 CALL = '<tool_call>{"name": "call"}</tool_call>'
 
 
-@query("segment_episode_full")
-def segment_episode_full(spark, sf):
+@query("segment_episode")
+def segment_episode(spark, sf):
     """All chats with messages, tool answers bound to the calls that wait for them. A call is an assistant message without content, as in
     ``bind_results``; it stands in the text as a tagged block."""
     from railyard.functions.tables import register
@@ -136,5 +92,5 @@ def segment_episode_full(spark, sf):
     is_call = lambda m: (m["role"] == "assistant") & ~content(m).rlike(r"(?U)\S")
     turn = lambda m: F.concat(F.lit("<|"), m["role"], F.lit("|>"), F.when(is_call(m), F.lit(CALL)).otherwise(content(m)))
     c = table(spark, sf, "areal_chat").filter(F.size("messages") > 0)
-    c.select("chat_id", F.array_join(F.transform("messages", turn), "\n").alias("text")).createOrReplaceTempView("railyard_whole_episode_text")
-    return spark.sql("select chat_id, x.pos, x.role, x.content, x.call_id from railyard_whole_episode_text, lateral segment_episode(text) x")
+    c.select("chat_id", F.array_join(F.transform("messages", turn), "\n").alias("text")).createOrReplaceTempView("railyard_episode_text")
+    return spark.sql("select chat_id, x.pos, x.role, x.content, x.call_id from railyard_episode_text, lateral segment_episode(text) x")

@@ -134,12 +134,12 @@ def component_rates(spark, sf):
 @query("health_counters", """select source, count(*) as n, count(*) filter (n_messages is null or n_messages = 0) as zero_input, count(*) filter (n_messages >= 15) as at_cap,
   count(*) filter (self_recovery) as recovered, count(*) - count(*) filter (n_messages is null or n_messages = 0) - count(*) filter (n_messages >= 15) as remainder
 from (select coalesce(nullif(regexp_replace(lower(trim(source)), '[\\s-]+', '_', 'g'), ''), '?') as source, n_messages, self_recovery from sft_mix_chat)
-group by source having count(*) - count(*) filter (n_messages is null or n_messages = 0) - count(*) filter (n_messages >= 15) > 0""")
+group by source""")
 def health_counters(spark, sf):
     g = mix_records(spark, sf).groupBy("source").agg(
         F.count("*").alias("n"), F.count_if(F.coalesce("n_messages", F.lit(0)) == 0).alias("zero_input"), F.count_if(F.col("n_messages") >= 15).alias("at_cap"), F.count_if("self_recovery").alias("recovered")
     )
-    return g.withColumn("remainder", F.col("n") - F.col("zero_input") - F.col("at_cap")).filter("remainder > 0")
+    return g.withColumn("remainder", F.col("n") - F.col("zero_input") - F.col("at_cap"))
 
 
 @query("checkpoint_selection", f"""with {TRACES}, g as (select sample_idx, count(*) filter ({OK}) / count(*) as y from traces group by sample_idx)

@@ -27,7 +27,7 @@ select trace_id, template, fault, replan, recovery_mode from (
 def capped_stratified_sample(spark, sf):
     t = traces(spark, sf).select("trace_id", "template", "fault", "replan", "recovery_mode", "score", "truncated")
     caps = report.band_caps(t, t, "template", report.accepted_trace()).select("template", "cap")
-    rows = t.join(caps, "template")
+    rows = op.with_caps(t, caps, "template", "cap")
     return op.capped_stratified(rows, "template", ["fault", "replan", "recovery_mode"], "cap", "trace_id", "s1").select("trace_id", "template", "fault", "replan", "recovery_mode")
 
 

@@ -75,13 +75,13 @@ def call_bag_match(spark, sf):
     return match.bag_verdicts(p.select(F.col("trace_id").alias("key"), slim(F.col("gold")).alias("gold"), slim(F.col("calls")).alias("got")))
 
 
-@query("json_args_normalise", f"""with {CALLS}, o as (select trace_id, seq, call_id, arguments from calls where tool_name = 'zuege_suchen' and json_valid(arguments)),
+@query("json_args_normalise", f"""with {CALLS}, o as (select trace_id, seq, call_id, arguments from calls where json_valid(arguments) and json_type(arguments) = 'OBJECT'),
 k as (select trace_id, seq, call_id, unnest(json_keys(arguments)) as key, arguments from o)
 select trace_id, seq, key, v as value from (select trace_id, seq, call_id, key,
   case when lower(trim(x)) in ('true', 'false') then lower(trim(x)) when regexp_full_match(trim(x), '[+-]?\\d+') then trim(x)::double::varchar else trim(x) end as v
   from (select *, json_extract_string(arguments, '$."' || key || '"') as x from k))""")
 def json_args_normalise(spark, sf):
-    c = calls(spark, sf).filter("tool_name = 'zuege_suchen'").select("trace_id", "seq", match.arguments_map(F.col("arguments")).alias("m"))
+    c = calls(spark, sf).select("trace_id", "seq", match.arguments_map(F.col("arguments")).alias("m"))
     return c.select("trace_id", "seq", F.explode("m").alias("key", "value")).withColumn("value", match.normal_scalar(F.col("value")))
 
 

@@ -54,7 +54,9 @@ def entity_overlap(spark, sf):
     return i.join(c, "entity", "left").agg(F.count("*").alias("n_entities"), F.count("found").alias("n_found"))
 
 
-ENTITY_SQL = "list_distinct(" + " || ".join(f"regexp_extract_all(answer, '{p}')" for p in op.ENTITIES) + ")"
+ENTITY_SQL = """list_distinct(regexp_extract_all(answer, '\\bMA-\\d+\\b') || regexp_extract_all(answer, '\\bWO-\\d{4}-\\d+\\b') || regexp_extract_all(answer, '\\bAS-\\d+\\b')
+  || regexp_extract_all(answer, '\\b\\d{1,2}:\\d{2}\\b') || regexp_extract_all(answer, '\\b\\d{4}-\\d{2}-\\d{2}\\b')
+  || regexp_extract_all(answer, '\\b(?:ICE|IC|EC|ECE|RJ|EN)\\s?\\d+\\b') || regexp_extract_all(answer, '\\b[A-Za-z0-9]+-9\\d{3}\\b'))"""
 
 
 @query("grounding_tokens", f"""with {MESSAGES},
@@ -94,39 +96,23 @@ def communicate_check(spark, sf):
     return c.select("chat_id", F.size("facts").alias("n_facts"), F.forall("facts", lambda f: F.contains(F.col("told"), F.lower(f))).alias("all_told"))
 
 
-@query("language_proxy", f"""select doc_id, len(regexp_extract_all(text, '(?i)\\b(?:{op.GERMAN})\\b'))::int as german_words,
-  len(regexp_extract_all(text, '(?i)\\b(?:{op.GERMAN})\\b')) >= 2 or regexp_matches(text, '[äöüÄÖÜß]') as looks_german
-from documents where text is not null and regexp_matches(text, '^[\\x00-\\x7fäöüÄÖÜß–„“€]*$')""")
-def language_proxy(spark, sf):
-    d = table(spark, sf, "documents").filter(F.col("text").rlike("^[\\x00-\\x7fäöüÄÖÜß–„“€]*$"))
-    return d.select("doc_id", op.german_words(F.col("text")).alias("german_words"), op.looks_german(F.col("text")).alias("looks_german"))
+GERMAN_SQL = "['der', 'die', 'das', 'ist', 'sind', 'und', 'für', 'wurde', 'wurden', 'keine', 'aktuell', 'zug', 'verspätung', 'zugeteilt', 'minuten', 'planmäßig']"
 
 
-@query("language_proxy_full", f"""select doc_id, len(list_filter(regexp_split_to_array(text, '{op.NO_WORD}'), lambda w: regexp_matches(w, '{op.GERMAN_WORD}')))::int as german_words,
-  len(list_filter(regexp_split_to_array(text, '{op.NO_WORD}'), lambda w: regexp_matches(w, '{op.GERMAN_WORD}'))) >= 2 or regexp_matches(text, '[äöüÄÖÜß]') as looks_german
-from documents where text is not null""")
-def language_proxy_full(spark, sf):
+@query("language_proxy", f"""with w as (select doc_id, text, len(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{M}}\\p{{N}}_]+'), lambda w: list_contains({GERMAN_SQL}, w)))::int as german_words from documents where text is not null)
+select doc_id, german_words, german_words >= 2 or regexp_matches(text, '[äöüÄÖÜß]') as looks_german from w""")
+def language_proxy(spark, sf):
     """Every text, whatever its script."""
-    d = table(spark, sf, "documents").filter("text is not null").select("doc_id", "text", op.german_words_whole(F.col("text")).alias("german_words"))
-    return d.select("doc_id", "german_words", ((F.col("german_words") >= 2) | F.col("text").rlike("[äöüÄÖÜß]")).alias("looks_german"))
-
-
-@query("think_strip", """with t as (select doc_id, '<think>' || left(text, 40) || '</think> ' || substr(text, 41, 60) || '[THINK]x[/THINK]' || substr(text, 101, 20) || case when doc_id % 3 = 0 then '</think>' || right(text, 10) else '' end as raw
-  from documents where text is not null),
-s as (select doc_id, regexp_replace(regexp_replace(raw, '<(?:seed:)?think>.*?</(?:seed:)?think>\\s*', '', 'gs'), '\\[THINK\\].*?\\[/THINK\\]\\s*', '', 'gs') as s from t)
-select doc_id, trim(list_extract(string_split(s, '</think>'), -1)) as plain from s""")
-def think_strip(spark, sf):
-    d = table(spark, sf, "documents").filter("text is not null")
-    raw = F.expr("concat('<think>', left(text, 40), '</think> ', substr(text, 41, 60), '[THINK]x[/THINK]', substr(text, 101, 20), case when doc_id % 3 = 0 then concat('</think>', right(text, 10)) else '' end)")
-    return d.select("doc_id", op.strip_reasoning(raw).alias("plain"))
+    d = table(spark, sf, "documents").filter("text is not null").select("doc_id", "text", op.german_words(F.col("text")).alias("german_words"))
+    return d.select("doc_id", "german_words", op.looks_german(F.col("text"), F.col("german_words")).alias("looks_german"))
 
 
-@query("think_strip_full", """with t as (select doc_id, text, length(text) // 4 as k from documents where text is not null),
+@query("think_strip", """with t as (select doc_id, text, length(text) // 4 as k from documents where text is not null),
 m as (select doc_id, '<think>' || substr(text, 1, k) || '</think> ' || substr(text, k + 1, k) || '[THINK]' || substr(text, 2 * k + 1, k) || '[/THINK]' || substr(text, 3 * k + 1)
   || case when doc_id % 3 = 0 then '</think>' || text else '' end as raw from t),
 s as (select doc_id, regexp_replace(regexp_replace(raw, '<(?:seed:)?think>.*?</(?:seed:)?think>[\\t\\n\\x0b\\f\\r ]*', '', 'gs'), '\\[THINK\\].*?\\[/THINK\\][\\t\\n\\x0b\\f\\r ]*', '', 'gs') as s from m)
 select doc_id, trim(list_extract(string_split(s, '</think>'), -1), ' ') as plain from s""")
-def think_strip_full(spark, sf):
+def think_strip(spark, sf):
     """Every character of every text, in quarters: reasoning, answer, reasoning, answer; each third text once more after a lost closing mark."""
     d = table(spark, sf, "documents").filter("text is not null").select("doc_id", "text", F.expr("length(text) div 4").cast("int").alias("k"))
     raw = F.expr("concat('<think>', substr(text, 1, k), '</think> ', substr(text, k + 1, k), '[THINK]', substr(text, 2 * k + 1, k), '[/THINK]', substr(text, 3 * k + 1), case when doc_id % 3 = 0 then concat('</think>', text) else '' end)")

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import tomllib
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 
 def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -30,6 +33,65 @@ def read_jsonl_tolerant(spark: SparkSession, path: str | list[str], schema: str
     return df.withColumn("_file", F.input_file_name())
 
 
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The non-blank lines of text files with file and line number (from 1, blank lines counted): (file, line, text).
+
+    A file may be read in several parts: a line's number is its place in the part plus the lines of the parts before, so no
+    file has to fit into a task. The parts are a small table.
+    """
+    at = F.monotonically_increasing_id()
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_part"), F.col("value").alias("text")).withColumn("_at", at)
+    before = F.sum("_n").over(W.partitionBy("file").orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
+    parts = rows.groupBy("file", "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_n")).withColumn("_before", F.coalesce(before, F.lit(0)))
+    numbered = rows.join(parts, ["file", "_part"]).withColumn("line", F.col("_at") - F.col("_first") + F.col("_before") + 1)
+    return numbered.filter(F.trim("text") != "").select("file", "line", "text")
+
+
+def read_jsonl_numbered(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
+    """JSON lines as (file, line, r, error): the record, or what is wrong with the line."""
+
+    def of(text: str) -> str | None:
+        try:
+            json.loads(text)
+        except (ValueError, RecursionError) as e:
+            return str(e) or type(e).__name__
+        return None
+
+    @F.pandas_udf("string")
+    def error(texts: pd.Series) -> pd.Series:
+        return texts.map(of)
+
+    lines = read_lines(spark, path).withColumn("error", error("text"))
+    return lines.select("file", "line", F.when(F.col("error").isNull(), F.from_json("text", schema)).alias("r"), "error")
+
+
+def read_config(path: str) -> dict:
+    """Settings of a .json or .toml file, or of a .yaml file where a reader for that is installed; on the driver."""
+    with open(path, encoding="utf-8") as f:
+        text = f.read()
+    if path.endswith(".toml"):
+        return tomllib.loads(text)
+    if path.endswith((".yaml", ".yml")):
+        try:
+            import yaml
+        except ImportError as e:
+            raise ValueError(f"no reader for {path}") from e
+        return yaml.safe_load(text) or {}
+    return json.loads(text)
+
+
+def files_fingerprint(paths: list[str]) -> str:
+    """Digest of an ordered list of files by name and bytes."""
+    digest = hashlib.sha256()
+    for p in paths:
+        digest.update(os.path.basename(p).encode() + b"\0")
+        with open(p, "rb") as f:
+            while part := f.read(1 << 20):
+                digest.update(part)
+        digest.update(b"\0")
+    return digest.hexdigest()
+
+
 def split_broken(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows; per file the number of bad lines and the first of them)."""
     good = df.filter("_corrupt is null").drop("_corrupt", "_file")
@@ -71,8 +133,7 @@ def find_results(folder: str, name: str) -> str:
 def snapshot_checks(spark: SparkSession, folder: str) -> DataFrame:
     """Whether each .json and .toml file under the folder parses: (path, passed, error). The files are read where they lie."""
 
-    @F.udf("string")
-    def problem(path: str, content: bytes) -> str | None:
+    def of(path: str, content: bytes) -> str | None:
         try:
             text = bytes(content).decode("utf-8")
             tomllib.loads(text) if path.endswith(".toml") else json.loads(text)
@@ -80,6 +141,10 @@ def snapshot_checks(spark: SparkSession, folder: str) -> DataFrame:
             return type(e).__name__
         return None
 
+    @F.pandas_udf("string")
+    def problem(paths: pd.Series, contents: pd.Series) -> pd.Series:
+        return pd.Series([of(p, c) for p, c in zip(paths, contents)], dtype=object)
+
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).filter(F.col("path").rlike(r"\.(json|toml)$"))
     checked = files.select("path", problem("path", "content").alias("error"))
     return checked.withColumn("passed", F.col("error").isNull())

@@ -6,7 +6,7 @@ import json
 import os
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -35,10 +35,9 @@ def append_missing(df: DataFrame, path: str, keys: list[str]) -> int:
             raise
         there = None
     todo = df if there is None else df.join(there, keys, "left_anti")
-    todo = todo.dropDuplicates(keys)
-    before = 0 if there is None else spark.read.parquet(path).count()
-    todo.write.mode("append").parquet(path)
-    return spark.read.parquet(path).count() - before
+    seen = Observation()
+    todo.dropDuplicates(keys).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
+    return seen.get["n"]
 
 
 def _replace(path: str, text: str) -> None:
@@ -90,6 +89,25 @@ def long_metrics(df: DataFrame, run: str, keys: list[str]) -> DataFrame:
     return df.select(F.lit(run).alias("run"), key.alias("key"), F.explode(pairs).alias("p")).select("run", "key", "p.metric", "p.value")
 
 
+def log_metrics(rows: DataFrame, path: str) -> bool:
+    """Appends metric rows; best effort: whether it went well, never an error, since a report must not end a run."""
+    try:
+        rows.write.mode("append").parquet(path)
+    except Exception:  # noqa: BLE001 - that is what best effort means
+        return False
+    return True
+
+
+def write_canonical(df: DataFrame, keys: list[str], path: str) -> dict:
+    """Rows as JSON lines with sorted keys in the order of ``keys``, and a manifest of the row count and an order-free digest; equal rows give equal bytes."""
+    rows = df.select(*sorted(df.columns))
+    text = F.to_json(F.struct(*(F.col(c) for c in sorted(df.columns))), {"ignoreNullFields": "false"})
+    rows.withColumn("_json", text).orderBy(*keys, "_json").select("_json").write.mode("overwrite").text(path)
+    digest = F.sum(F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("decimal(38,0)"))
+    r = rows.agg(F.count("*").alias("n"), digest.alias("d")).collect()[0]
+    return {"rows": r["n"], "digest": f"{int(r['d'] or 0) % 16**16:016x}"}
+
+
 def markdown(df: DataFrame, order: list[str], most: int = 500) -> str:
     """A report as a Markdown table; reports are small, more than ``most`` rows are an error."""
     rows = df.orderBy(*order).limit(most + 1).collect()

@@ -12,14 +12,14 @@ def run(spark, folder, name, table, rows, schema):
 
 def test_language_of_every_text(spark, tmp_path):
     texts = ["Der Zug ist da, né?", "Bäder und Räder", "FÜR für", "→ mit ’auf‘", "le train est là", "日本 der 日本", "日本der", None, ""]
-    got = run(spark, tmp_path, "language_proxy_full", "documents", list(enumerate(texts)), "doc_id long, text string")
-    want = [(0, 2, True), (1, 1, True), (2, 2, True), (3, 2, True), (4, 0, False), (5, 1, False), (6, 0, False), (8, 0, False)]
+    got = run(spark, tmp_path, "language_proxy", "documents", list(enumerate(texts)), "doc_id long, text string")
+    want = [(0, 3, True), (1, 1, True), (2, 2, True), (3, 0, False), (4, 0, False), (5, 1, False), (6, 0, False), (8, 0, False)]
     assert sorted(got) == want
 
 
 def test_reasoning_of_whole_texts(spark, tmp_path):
     texts = ["a" * 500 + "b" * 500 + "c" * 500 + "d" * 500, "abc\n" * 3000, "kurz", "", None, "é" * 9, "x y " * 50]
-    got = run(spark, tmp_path, "think_strip_full", "documents", list(enumerate(texts)), "doc_id long, text string")
+    got = run(spark, tmp_path, "think_strip", "documents", list(enumerate(texts)), "doc_id long, text string")
     want = []
     for i, t in enumerate(texts):
         if t is not None:
@@ -37,14 +37,14 @@ def test_all_calls_of_a_trace(spark, tmp_path):
     traces = [(1, many[::-1]), (2, [many[0], (2, "x", "g", '{"kennung": "ICE 75'), many[3], many[3]]), (3, []), (4, None)]
     extra = ", called_at timestamp, took_ms int>>"
     rows = [(t, None if c is None else [(*x, None, None) for x in c]) for t, c in traces]
-    got = run(spark, tmp_path, "tool_call_extract_full", "db_traces_chat", rows, CALLS.replace(">>", extra))
+    got = run(spark, tmp_path, "tool_call_extract", "db_traces_chat", rows, CALLS.replace(">>", extra))
     assert sorted(got) == [(1, i - 1, f"f{i}") for i in range(1, 6)] + [(2, 0, "f1"), (2, 1, "f4")]
 
 
 def test_quotes_in_the_bracket_form(spark, tmp_path):
     zug = ["IC 1", 'IC "2"', "IC \\3", '4", x="(', "5\n6", "ü)]", "'"]
     rows = [(i, [(1, "c", "fahrplan", json.dumps({"zugnummer": z}))]) for i, z in enumerate(zug)]
-    got = run(spark, tmp_path, "bracket_dsl_full", "db_traces_chat", rows, CALLS)
+    got = run(spark, tmp_path, "bracket_dsl", "db_traces_chat", rows, CALLS)
     assert sorted(got) == [(i, 1, "fahrplan", z) for i, z in enumerate(zug)]
 
 
@@ -74,20 +74,20 @@ def test_segments_of_all_chats(spark, tmp_path):
         [("assistant", ""), ("assistant", ""), ("tool", "late")],
         [("user", "plain")],
     ]
-    got = run(spark, tmp_path, "segment_episode_full", "areal_chat", [*enumerate(chats), (9, []), (8, None)], "chat_id long, messages array<struct<role string, content string>>")
+    got = run(spark, tmp_path, "segment_episode", "areal_chat", [*enumerate(chats), (9, []), (8, None)], "chat_id long, messages array<struct<role string, content string>>")
     assert sorted(got, key=lambda r: r[:2]) == [(i, *x) for i, c in enumerate(chats) for x in plain_segments(c)]
 
 
 def test_segments_of_the_smallest_data(spark, small):
     rows = spark.read.parquet(f"{small}/areal_chat.parquet").select("chat_id", "messages").collect()
     want = [(r["chat_id"], *x) for r in rows for x in plain_segments(r["messages"] or [])]
-    got = [tuple(r) for r in registry.queries()["segment_episode_full"](spark, small).collect()]
+    got = [tuple(r) for r in registry.queries()["segment_episode"](spark, small).collect()]
     assert sorted(got, key=lambda r: r[:2]) == sorted(want, key=lambda r: r[:2])
 
 
 def test_closure_of_all_orders(spark, tmp_path):
     orders = [(k, "P" if k % 2 else "F", k * 10) for k in range(101, 111)]
-    got = run(spark, tmp_path, "dependency_closure_full", "orders", orders, "o_orderkey long, o_orderstatus string, o_custkey long")
+    got = run(spark, tmp_path, "dependency_closure", "orders", orders, "o_orderkey long, o_orderstatus string, o_custkey long")
     want = {}
     for k, status, place in orders:
         for x in (k - 1, k // 2, k) if status == "P" else ():
@@ -98,5 +98,5 @@ def test_closure_of_all_orders(spark, tmp_path):
 def test_overlay_of_all_trips(spark, tmp_path):
     stops = [(k, n, 1, 1, float(n), 1.0, 0.0, 0.0, "R" if n == 1 else "N", "O", None) for k in (3, 50, 99) for n in (1, 2, 3)]
     columns = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
-    got = run(spark, tmp_path, "delay_overlay_full", "lineitem", stops, columns)
+    got = run(spark, tmp_path, "delay_overlay", "lineitem", stops, columns)
     assert sorted(got) == sorted((e, k, n, 900.0 + n) for k in (3, 50, 99) for e, n in (("R", 1), ("N", 3)))
