@@ -9,7 +9,8 @@ fit), so ``mix=True``, the default, forms them of slots of several buckets: each
 slot left and those of the others that fill it best (a bounded subset-sum over the bucket lengths), and a
 pattern found once serves as many containers as the counts allow. ``mix=False`` keeps to one bucket each.
 The plan is made on the driver from the histogram, whose size the capacity bounds; rows are never gathered:
-a row's rank in its bucket tells its slot, and ranks are offsets of salted groups.
+a row's rank in its bucket tells its slot, and ranks are offsets of groups of about GROUP rows, so neither a
+frequent length nor many long items gather in one task.
 
 Defined cases
 - null and empty texts have no tokens and no place. Tokens are those of ``encode`` (blank text has some).
@@ -34,7 +35,8 @@ from railyard.core import checkpointed, spread
 from railyard.llm.encode import TOKENIZERS, Encoder, shared_table, slices
 
 BUCKETS = 256
-SALTS = 64
+#: Items of one bucket, or long items, that are numbered in one group.
+GROUP = 200_000
 
 
 def token_counts(documents: DataFrame, tokenizers: list[str], folder: str = TOKENIZERS) -> DataFrame:
@@ -182,6 +184,7 @@ class Plan:
                 self.each[b].append(k)
                 seen[b] += times * k
             self.containers += times
+        self.groups = 1 + per_bucket // GROUP
         self.arrays = [tuple(np.array(x, np.int64) for x in y) for y in zip(self.starts, self.firsts, self.each)]
 
     def container(self, bucket: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -211,51 +214,53 @@ def pack_items(sizes: DataFrame, capacities: dict[int, int], buckets: int = BUCK
     rows = sizes.filter("n > 0").withColumn("capacity", cap).filter("capacity is not null")
     rows = rows.withColumn("full", F.when(F.col("n") > F.col("capacity"), F.expr("n div capacity")).otherwise(F.lit(0)))
     rows = rows.withColumn("rest", F.col("n") - F.col("full") * F.col("capacity"))
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    rows = rows.withColumn("hash", F.pmod(F.xxhash64("doc_id"), F.lit(2**31)))
     # bounded by the capacities, whatever the number of documents
-    histogram = rows.filter("rest > 0").groupBy("pack_id", "rest").count().collect()
-    plans = {}
+    histogram = rows.groupBy("pack_id", "rest").agg(F.count("*").alias("n"), F.count_if(F.col("full") > 0).alias("long")).collect()
+    plans, groups_of = {}, {}
     for p, c in capacities.items():
-        mine = sorted((r["rest"], r["count"]) for r in histogram if r["pack_id"] == p)
+        mine = sorted((r["rest"], r["n"]) for r in histogram if r["pack_id"] == p and r["rest"] > 0)
         plans[p] = Plan(np.array([x for x, _ in mine], np.int64), np.array([n for _, n in mine], np.int64), c, buckets, mix)
+        groups_of[p] = 1 + sum(r["long"] for r in histogram if r["pack_id"] == p) // GROUP
     if not plans:
         return spark.createDataFrame([], schema)
     shared = spark.sparkContext.broadcast(plans)
 
     def to_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pack, doc, rest, salt = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-            bucket = np.zeros(len(pack), np.int64)
+            pack, doc, rest, full, number = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            bucket, salt = np.zeros(len(pack), np.int64), np.zeros(len(pack), np.int64)
             for p in np.unique(pack):
-                bucket[pack == p] = np.searchsorted(shared.value[p].bounds, rest[pack == p])
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (pack, doc, rest, salt.astype(np.int64), bucket)], names=["pack_id", "doc_id", "rest", "salt", "bucket"])
+                mine = pack == p
+                bucket[mine] = np.searchsorted(shared.value[p].bounds, rest[mine])
+                salt[mine] = number[mine] % shared.value[p].groups[bucket[mine]]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (pack, doc, rest, full, bucket, salt)], names=["pack_id", "doc_id", "rest", "full", "bucket", "salt"])
 
-    slim = rows.filter("rest > 0").select("pack_id", "doc_id", "rest", F.col("salt").cast("long").alias("salt"))
-    slim = slim.mapInArrow(to_bucket, "pack_id long, doc_id long, rest long, salt long, bucket long")
+    slim = rows.filter("rest > 0").select("pack_id", "doc_id", "rest", F.col("full").cast("long").alias("full"), "hash")
+    slim = slim.mapInArrow(to_bucket, "pack_id long, doc_id long, rest long, full long, bucket long, salt long")
     groups = _ranges(slim.groupBy("pack_id", "bucket", "salt").agg(F.count("*").alias("in_group")), ["pack_id", "bucket", "salt"], "in_group")
     rank = F.row_number().over(W.partitionBy("pack_id", "bucket", "salt").orderBy("rest", "doc_id")) - 1
-    ranked = slim.withColumn("rank", rank).join(groups, ["pack_id", "bucket", "salt"]).select("pack_id", "doc_id", "rest", "bucket", (F.col("rank") + F.col("before")).alias("rank"))
+    ranked = slim.withColumn("rank", rank).join(groups, ["pack_id", "bucket", "salt"]).select("pack_id", "doc_id", "rest", "full", "bucket", (F.col("rank") + F.col("before")).alias("rank"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pack, doc, rest, bucket, rank = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            pack, doc, rest, full, bucket, rank = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6))
             container = np.zeros(len(pack), np.int64)
             for p in np.unique(pack):
                 mine = pack == p
                 container[mine] = shared.value[p].container(bucket[mine], rank[mine])
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (pack, container, doc, rest)], names=["pack_id", "container_id", "doc_id", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (pack, container, doc, full, rest)], names=["pack_id", "container_id", "doc_id", "piece", "n_tokens"])
 
-    rests = ranked.mapInArrow(place, "pack_id long, container_id long, doc_id long, n_tokens long")
-    whole = rows.filter("full > 0")
+    rests = ranked.mapInArrow(place, schema)
+    salts = F.create_map(*(F.lit(x) for p, n in groups_of.items() for x in (p, n)))[F.col("pack_id")]
+    whole = rows.filter("full > 0").withColumn("salt", F.pmod("hash", salts))
     parts = _ranges(whole.groupBy("pack_id", "salt").agg(F.sum("full").alias("pieces")), ["pack_id", "salt"], "pieces")
     upto = F.sum("full").over(W.partitionBy("pack_id", "salt").orderBy("doc_id").rowsBetween(W.unboundedPreceding, 0)) - F.col("full")
     first = F.create_map(*(F.lit(x) for p, plan in plans.items() for x in (p, plan.containers)))[F.col("pack_id")].cast("long")
     pieces = whole.withColumn("upto", upto).join(parts, ["pack_id", "salt"])
     pieces = pieces.select("pack_id", "doc_id", F.col("capacity").alias("n_tokens"), (first + F.col("before") + F.col("upto")).alias("base"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("full") - 1)).alias("piece"))
     pieces = pieces.select("pack_id", (F.col("base") + F.col("piece")).alias("container_id"), "doc_id", "piece", "n_tokens")
-    rest_piece = F.when(F.col("full") > 0, F.col("full")).otherwise(F.lit(0))
-    numbered = rests.join(whole.select("pack_id", "doc_id", "full"), ["pack_id", "doc_id"], "left").withColumn("piece", F.coalesce(rest_piece, F.lit(0)).cast("long"))
-    return numbered.select("pack_id", "container_id", "doc_id", "piece", "n_tokens").unionByName(pieces)
+    return rests.unionByName(pieces)
 
 
 def pack_documents(documents: DataFrame, packs: DataFrame, folder: str = TOKENIZERS, buckets: int = BUCKETS, mix: bool = True) -> DataFrame:

@@ -439,8 +439,9 @@ def test_best_fill_is_best():
         assert sum(int(sizes[t]) * k for t, k in chosen) == best and all(k <= left[t] for t, k in chosen)
 
 
-@pytest.mark.parametrize("mix", [True, False])
-def test_packing(spark, mix):
+@pytest.mark.parametrize("mix, group", [(True, 200_000), (True, 3), (False, 200_000)])
+def test_packing(spark, monkeypatch, mix, group):
+    monkeypatch.setattr(packing, "GROUP", group)
     rng = random.Random(8)
     sizes = [(1, i, rng.choice([3, 7, 40, 60, 61, rng.randint(1, 100)])) for i in range(800)] + [(1, 9000, 350), (1, 9001, 300), (1, 9002, 0), (2, 1, 5), (2, 2, 5), (3, 1, 1)]
     df = spark.createDataFrame(sizes, "pack_id long, doc_id long, n long")
