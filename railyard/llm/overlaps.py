@@ -80,6 +80,9 @@ TIME = re.compile(r"(?<![\w.:])(\d{1,2})\s?[:.]\s?(\d{2})(?::00)?(?![\d:]|\.\d)(
 HOUR = re.compile(r"(?<!\w)(\d{1,2})\s?uhr(?:\s?(\d{2})(?!\d))?")
 AM_PM = re.compile(r"(?<![\w.:])(\d{1,2})\s?(am|pm)(?!\w)")
 DIGIT = re.compile(r"\d")
+ANY_MONTH = re.compile(rf"\d\w{{0,2}}\.?\s+(?:of\s+)?(?:{_NAMES})|(?:{_NAMES})\.?\s+\d")
+HALF_DAY = re.compile(r"\d\s?[ap]m")
+WIDE_BLANK = re.compile(r"[^\S\n ]+ *|  +[^\S\n]*")
 TOKEN = re.compile(r"[DT]\d+|[^\W\d_]+|\d+")
 SENTENCE = re.compile(r"[.!?]+(?=\s|$)|\n\s*\n")
 GREETING = re.compile(r"^((?:[^\W\d_]+ ){0,2}[^\W\d_]+)\s?[,!:]+\s")
@@ -97,17 +100,23 @@ def _time(h: str, m: str | None, half: str | None = None) -> str:
 
 def canonical(text: str) -> str:
     """One spelling of letters, dates and times; dates become D20260131, times T0912."""
-    text = unicodedata.normalize("NFKC", INVISIBLE.sub("", text)).casefold().replace("ä", "ae").replace("ö", "oe").replace("ü", "ue")
-    text = re.sub(r"[^\S\n]+", " ", text)
+    if not text.isascii():
+        text = unicodedata.normalize("NFKC", INVISIBLE.sub("", text))
+    text = text.casefold().replace("ä", "ae").replace("ö", "oe").replace("ü", "ue")
+    text = WIDE_BLANK.sub(" ", text)
     if not DIGIT.search(text):
         return text
-    text = ISO_DATE.sub(lambda m: _date(*m.groups()), text)
-    text = NAMED_DATE.sub(lambda m: _date(m[3], MONTHS[m[2]], m[1]), text)
-    text = DATE_NAMED.sub(lambda m: _date(m[3], MONTHS[m[1]], m[2]), text)
+    # each form is looked for only where a part of it stands
+    if "-" in text:
+        text = ISO_DATE.sub(lambda m: _date(*m.groups()), text)
+    if ANY_MONTH.search(text):
+        text = NAMED_DATE.sub(lambda m: _date(m[3], MONTHS[m[2]], m[1]), text)
+        text = DATE_NAMED.sub(lambda m: _date(m[3], MONTHS[m[1]], m[2]), text)
     text = DAY_DATE.sub(lambda m: _date(m[3], m[2], m[1]), text)
     text = TIME.sub(lambda m: _time(m[1], m[2], m[3]), text)
-    text = AM_PM.sub(lambda m: _time(m[1], None, m[2]), text)
-    return HOUR.sub(lambda m: _time(m[1], m[2]), text)
+    if HALF_DAY.search(text):
+        text = AM_PM.sub(lambda m: _time(m[1], None, m[2]), text)
+    return HOUR.sub(lambda m: _time(m[1], m[2]), text) if "uhr" in text else text
 
 
 def tokens_of(text: str) -> list[str]:
