@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("reports", "samples", "sequences", "texts", "world", "checks", "scoring", "parsing", "streams", "dialogs")
+MODULES = ("reports", "samples", "sequences", "texts", "world", "checks", "scoring", "parsing", "streams", "dialogs", "gates", "lookups")
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
