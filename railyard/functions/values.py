@@ -92,6 +92,50 @@ def leaf_strings(v, least: int = 0) -> list[str]:
     return [s for x in v for s in leaf_strings(x, least)] if isinstance(v, list) else []
 
 
+def leaf_numbers(v) -> list[float]:
+    """All numbers inside nested lists and objects, in order; truth values are none."""
+    if isinstance(v, bool):
+        return []
+    if isinstance(v, (int, float)):
+        return [v]
+    inside = list(v.values()) if isinstance(v, dict) else v if isinstance(v, list) else []
+    return [n for x in inside for n in leaf_numbers(x)]
+
+
+def without_null_branch(parameters: dict) -> dict:
+    """A parameter schema whose properties have one type: of alternatives the first that is not null, its keys beside those already there."""
+
+    def flat(prop: dict) -> dict:
+        if not prop.get("anyOf"):
+            return {k: v for k, v in prop.items() if k != "anyOf"}
+        branches = prop["anyOf"]
+        chosen = next((b for b in branches if b.get("type") != "null"), branches[0])
+        return chosen | {k: v for k, v in prop.items() if k != "anyOf"}
+
+    return parameters | {"properties": {name: flat(p) for name, p in (parameters.get("properties") or {}).items()}}
+
+
+def function_definition(tool: dict) -> dict:
+    """A tool definition in the wrapped dialect: type function around name, description and parameters of type object."""
+    parameters = dict(tool.get("parameters") or {"type": "object", "properties": {}})
+    if parameters.get("type") == "dict":
+        parameters["type"] = "object"
+    return {"type": "function", "function": {"name": tool.get("name", ""), "description": tool.get("description", ""), "parameters": parameters}}
+
+
+def scored(score, messages: str | list | None, *more) -> dict[str, float]:
+    """The numbers of score(messages, ...), which may be given as JSON; never raises: what cannot be read or scored has score 0."""
+    try:
+        rows = json.loads(messages) if isinstance(messages, str) else messages or []
+    except (ValueError, RecursionError):
+        rows = []
+    try:
+        found = score(rows, *more)
+    except Exception:  # noqa: BLE001 - a reward must not end a run
+        found = {}
+    return {"score": 0.0} | {k: float(v) for k, v in found.items() if isinstance(v, (int, float))}
+
+
 def split_outside(text: str, mark: str = ",") -> list[str]:
     """Parts between marks that stand outside brackets and quotes."""
     parts, depth, quote, begin, escaped = [], 0, "", 0, False

@@ -54,6 +54,13 @@ def replace_once(col: Column, literal: str, new: str) -> Column:
     return F.when(occurrences(col, literal) == 1, F.replace(col, F.lit(literal), F.lit(new)))
 
 
+def replace_exactly(col: Column, literal: str, new: str) -> Column:
+    """The text with the literal replaced; a text in which it does not occur exactly once is an error."""
+    found = occurrences(col, literal)
+    wrong = F.raise_error(F.concat(F.lit(f"expected {literal!r} once, found it "), found.cast("string"), F.lit(" times")))
+    return F.when(found == 1, F.replace(col, F.lit(literal), F.lit(new))).otherwise(wrong.cast("string"))
+
+
 def add_seconds(clock: Column, seconds: Column) -> Column:
     """HH:MM:SS plus seconds; hours may exceed 24, as in timetables."""
     part = lambda i: F.split_part(clock, F.lit(":"), F.lit(i)).cast("long")
