@@ -28,20 +28,19 @@ def tool_call_extract(spark, sf):
 
 
 @query("bracket_dsl", f"""with {CALLS}
-select trace_id, seq, tool_name as name, json_extract_string(arguments, '$.zugnummer') as zug from calls where tool_name = 'fahrplan' and json_valid(arguments) and json_extract_string(arguments, '$.zugnummer') is not null""")
+select trace_id, seq, call_id, tool_name as name, arguments as value from calls where arguments is not null and tool_name is not null""")
 def bracket_dsl(spark, sf):
-    """Values with quotes and backslashes too, written as JSON writes them."""
+    """Every call in the bracket form, with its arguments as one quoted text, so quotes, brackets, commas and backslashes stand inside values."""
 
     @F.pandas_udf("array<struct<name string, arguments string>>")
     def parse(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: bracket_calls(t) if t is not None else None)
 
-    zug = F.get_json_object("arguments", "$.zugnummer")
-    c = calls(spark, sf).filter("tool_name = 'fahrplan'").filter(F.try_parse_json("arguments").isNotNull()).filter(zug.isNotNull())
-    quoted = F.regexp_extract(F.to_json(F.array(zug)), r"(?s)^\[(.*)\]$", 1)
-    text = F.concat(F.lit("[fahrplan(zugnummer="), quoted, F.lit(', tage=[1, (2)], art="a,b)")]'))
-    got = c.select("trace_id", "seq", F.explode(parse(text)).alias("p"))
-    return got.select("trace_id", "seq", "p.name", F.get_json_object("p.arguments", "$.zugnummer").alias("zug"))
+    c = calls(spark, sf).filter("arguments is not null and tool_name is not null")
+    quoted = F.regexp_extract(F.to_json(F.array("arguments")), r"(?s)^\[(.*)\]$", 1)
+    text = F.concat(F.lit("["), F.col("tool_name"), F.lit("(value="), quoted, F.lit(', tage=[1, (2)], art="a,b)")]'))
+    got = c.select("trace_id", "seq", "call_id", F.explode(parse(text)).alias("p"))
+    return got.select("trace_id", "seq", "call_id", "p.name", F.get_json_object("p.arguments", "$.value").alias("value"))
 
 
 @query("canonical_arguments")

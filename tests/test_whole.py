@@ -42,10 +42,10 @@ def test_all_calls_of_a_trace(spark, tmp_path):
 
 
 def test_quotes_in_the_bracket_form(spark, tmp_path):
-    zug = ["IC 1", 'IC "2"', "IC \\3", '4", x="(', "5\n6", "ü)]", "'"]
-    rows = [(i, [(1, "c", "fahrplan", json.dumps({"zugnummer": z}))]) for i, z in enumerate(zug)]
+    values = ["IC 1", 'IC "2"', "IC \\3", '4", x="(', "5\n6", "ü)]", "'", "{\"a\": [1, \"b)\"]}", ""]
+    rows = [(i, [(1, "c", "fahrplan", z), (2, "d", None, z), (3, "e", "f", None)]) for i, z in enumerate(values)]
     got = run(spark, tmp_path, "bracket_dsl", "db_traces_chat", rows, CALLS)
-    assert sorted(got) == [(i, 1, "fahrplan", z) for i, z in enumerate(zug)]
+    assert sorted(got) == [(i, 1, "c", "fahrplan", z) for i, z in enumerate(values)]
 
 
 def plain_segments(messages):
