@@ -63,6 +63,8 @@ WORD_SHARE, TALK_SHARE = 0.0002, 0.01
 #: Two words are alternatives of one slot where the rarer has at least this part of the other's frequency.
 RIVAL = 0.1
 LEAST_ALIKE = 0.7
+#: Most words of a greeting.
+LEAD = 3
 #: Share of its words that a sentence has in common with a frequent one where it is that one, reworded.
 TALK_ALIKE = 0.5
 
@@ -148,10 +150,12 @@ def slots(sentence: str, other: str) -> bool:
     return 0 < len(changed) <= max(1, len(a) // 4) and not all(slip(x, y) for x, y in changed)
 
 
-def small_talk(counts: dict[str, int], least: float) -> list[str]:
-    """The sentences without a number in at least ``least`` tickets, but for those that are one of several alternatives."""
+def small_talk(counts: dict[str, int], least: float, least_lead: float) -> list[str]:
+    """The sentences without a number in at least ``least`` tickets (``least_lead`` for those of at most LEAD words), but for those
+    that are one of several alternatives."""
     plain = {s: n for s, n in counts.items() if not any(map(has_number, s.split()))}
-    return sorted(s for s, n in plain.items() if n >= least and not any(m >= RIVAL * n and slots(s, other) for other, m in plain.items()))
+    enough = lambda s, n: n >= (least_lead if len(s.split()) <= LEAD else least)
+    return sorted(s for s, n in plain.items() if enough(s, n) and not any(m >= RIVAL * n and slots(s, other) for other, m in plain.items()))
 
 
 class Talk:
@@ -413,10 +417,13 @@ def classes_of(tasks: DataFrame) -> tuple[DataFrame, DataFrame, Verifier]:
     """(members: task_no, class_id, source, is_train, eval_splits; classes: class_id, core, template, is_train, is_eval, bits, blocks; the verifier)."""
     rows = checkpointed(_sentences(tasks))
     texts = checkpointed(rows.select("sentences").distinct())  # a ticket counts once, however many copies it has
-    n = texts.count()
+    lead = F.col("sentences")[0]
+    has_lead = (F.size("sentences") > 1) & (F.size(F.split(lead, " ")) <= LEAD)
+    n, leads = texts.agg(F.count("*"), F.count_if(has_lead)).collect()[0]
     sentences, known, least = _frequent(texts, n)
+    talk = small_talk(sentences, max(3.0, TALK_SHARE * n), max(3.0, min(TALK_SHARE * n, TALK_SHARE * leads)))  # a greeting among those tickets that have one
     sc = rows.sparkSession.sparkContext
-    shared = sc.broadcast((small_talk(sentences, max(3.0, TALK_SHARE * n)), known, least))
+    shared = sc.broadcast((talk, known, least))
 
     @F.pandas_udf("string")
     def core(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -262,6 +262,13 @@ def test_alternatives_make_no_small_talk(spark):
     assert {tuple(r) for r in overlaps.overlap_pairs(tasks, splits).collect()} == {(0, 501)}
 
 
+def test_rare_greetings_are_small_talk():
+    """A greeting counts by its share of the tickets that have one, a longer sentence by its share of all."""
+    counts = {"hello": 6, "quick question": 6, "hallo": 60, "please be quick about it": 6, "wagen 7": 60}
+    assert overlaps.small_talk(counts, 10.0, 5.0) == ["hallo", "hello", "quick question"]
+    assert overlaps.small_talk(counts, 5.0, 5.0) == ["hallo", "hello", "please be quick about it", "quick question"]
+
+
 def test_slips_in_tickets_without_values(spark):
     """Near-copies of number-free tickets of ten words and more are met: at least 0.99 of those with one slip."""
     rng = random.Random(14)
