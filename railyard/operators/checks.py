@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -58,8 +57,3 @@ def fingerprint(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def uniqueness(df: DataFrame, key: list[str], name: str) -> DataFrame:
     per = df.groupBy(*key).agg(F.count("*").alias("_k"))
     return per.agg(F.lit(name).alias("name"), F.lit("fail").alias("level"), (F.count_if(F.col("_k") > 1) == 0).alias("passed"), F.sum(F.col("_k") - 1).alias("n_bad"), F.sum("_k").alias("n_rows"))
-
-
-def share_over(df: DataFrame, group: str) -> DataFrame:
-    g = df.groupBy(group).agg(F.count("*").alias("n"))
-    return g.withColumn("share", F.col("n") / F.sum("n").over(W.partitionBy(F.lit(1))))

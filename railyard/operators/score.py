@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from railyard.functions.values import json_object
 
-#: Replayed calls of one episode; later ones count as an error, so an episode is bounded.
+#: Calls of one episode, of any kind, that are replayed; the replay stops there (fixed value).
 MOST_CALLS = 64
 WRITES = ("wartung_einplanen", "crew_zuweisen", "wartung_status_setzen")
 
@@ -32,21 +32,19 @@ def rejected_writes(writes: DataFrame, state: DataFrame, key: list[str], order:
     return writes.join(state.select(*key, "ended_at"), key).filter(F.col(order) > F.col("ended_at"))
 
 
-def fold_writes(calls: list[dict]) -> tuple[int, int, str]:
-    """(writes done, errors, digest of the state) after an episode's calls in order, over an empty world.
+def fold_writes(calls: list[dict], n_orders: int = 1000) -> tuple[int, int, str]:
+    """(writes done, errors, digest of the state) after an episode's writes in order, over a world of ``n_orders`` orders.
 
-    New orders get ids in the order of their making, so this is a fold and no set operation.
+    New orders get the ids after those, in the order of their making, so this is a fold and no set operation.
     """
     orders: dict[str, dict] = {}
     crew: set[tuple] = set()
     status: dict[str, str] = {}
     errors = done = 0
-    for n, c in enumerate(calls):
+    for c in calls:
         tool, a = c["tool_name"], json_object(c["arguments"])
-        if n >= MOST_CALLS:
-            errors += 1
-        elif tool == "wartung_einplanen" and a.get("fahrzeug_id"):
-            orders[f"WO-{1000 + len(orders)}"] = {k: a[k] for k in sorted(a)}
+        if tool == "wartung_einplanen" and a.get("fahrzeug_id"):
+            orders[f"WO-{n_orders + len(orders)}"] = {k: a[k] for k in sorted(a)}
             done += 1
         elif tool == "crew_zuweisen" and (key := tuple(str(a.get(k)) for k in ("zugnummer", "mitarbeiter_id", "rolle"))) not in crew and a.get("zugnummer"):
             crew.add(key)
@@ -60,18 +58,18 @@ def fold_writes(calls: list[dict]) -> tuple[int, int, str]:
     return done, errors, hashlib.sha256(state.encode()).hexdigest()[:16]
 
 
-def replay(episodes: DataFrame, episode: str, calls: str) -> DataFrame:
+def replay(episodes: DataFrame, episode: str, calls: str, most_calls: int = MOST_CALLS, n_orders: int = 1000) -> DataFrame:
     """Ordered replay of all three kinds of writes of each episode over its own overlay of the world.
 
     ``calls`` holds the episode's calls in order as an array, so episodes are replayed where they lie, many in
-    one batch, without a group of their own. Episodes without a write are left out.
+    one batch, without a group of their own. Episodes without a write among the first ``most_calls`` calls are left out.
     """
 
     @F.pandas_udf("struct<n_done int, n_errors int, state string>")
     def run(arrays: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([fold_writes(list(a)) for a in arrays], columns=["n_done", "n_errors", "state"])
+        return pd.DataFrame([fold_writes(list(a), n_orders) for a in arrays], columns=["n_done", "n_errors", "state"])
 
-    slim = F.transform(F.filter(calls, lambda c: c["tool_name"].isin(*WRITES)), lambda c: F.struct(c["tool_name"].alias("tool_name"), c["arguments"].alias("arguments")))
+    slim = F.transform(F.filter(F.slice(calls, 1, most_calls), lambda c: c["tool_name"].isin(*WRITES)), lambda c: F.struct(c["tool_name"].alias("tool_name"), c["arguments"].alias("arguments")))
     writes = episodes.select(episode, slim.alias("_w")).filter(F.size("_w") > 0)
     return writes.select(episode, run("_w").alias("_r")).select(episode, "_r.*")
 

@@ -38,6 +38,14 @@ def test_settings_and_files(tmp_path):
         readers.find_results(str(tmp_path), "none")
 
 
+def test_whole_files(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("one\ntwo\n")
+    (tmp_path / "bad.json").write_text("{")
+    (tmp_path / "good.toml").write_text("a = 1")
+    assert readers.read_text_file(spark, str(tmp_path / "a.txt")).collect()[0][0] == "one\ntwo\n"
+    assert {r["path"].rsplit("/", 1)[1]: (r["passed"], r["error"]) for r in readers.snapshot_checks(spark, str(tmp_path)).collect()} == {"bad.json": (False, "JSONDecodeError"), "good.toml": (True, None)}
+
+
 def test_canonical_rows_and_metrics(spark, tmp_path):
     df = spark.createDataFrame([(2, "ä", None), (1, "b", 3)], "b int, a string, c int")
     one = writers.write_canonical(df, ["b"], str(tmp_path / "one"))

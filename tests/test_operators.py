@@ -207,10 +207,10 @@ def test_terminal_state(spark):
 
 def test_replay(spark):
     w = '{"zugnummer": "IC 1", "mitarbeiter_id": "MA-1", "rolle": "x"}'
-    rows = [(1, [("crew_zuweisen", w)] * 2), (2, [("crew_zuweisen", w)]), (3, [("wartung_einplanen", '{"fahrzeug_id": "F"}'), ("fahrplan", "{}")]), (4, [("crew_zuweisen", "broken")]), (5, []), (6, None), (7, [("crew_zuweisen", w)] * 70)]
+    rows = [(1, [("crew_zuweisen", w)] * 2), (2, [("crew_zuweisen", w)]), (3, [("wartung_einplanen", '{"fahrzeug_id": "F"}'), ("fahrplan", "{}")]), (4, [("crew_zuweisen", "broken")]), (5, []), (6, None), (7, [("crew_zuweisen", w)] * 70), (8, [("fahrplan", "{}")] * 63 + [("crew_zuweisen", w)] * 3), (9, [("fahrplan", "{}")] * 64 + [("crew_zuweisen", w)])]
     df = spark.createDataFrame(rows, "e long, c array<struct<tool_name string, arguments string>>")
     got = {r["e"]: r for r in score.replay(df, "e", "c").collect()}
-    assert set(got) == {1, 2, 3, 4, 7} and (got[7]["n_done"], got[7]["n_errors"]) == (1, 69)
+    assert set(got) == {1, 2, 3, 4, 7, 8} and (got[7]["n_done"], got[7]["n_errors"]) == (1, 63) and (got[8]["n_done"], got[8]["n_errors"]) == (1, 0)
     assert (got[1]["n_done"], got[1]["n_errors"]) == (1, 1) and got[1]["state"] == got[2]["state"] and got[3]["n_errors"] == 0 and got[4]["n_errors"] == 1
 
 
