@@ -78,7 +78,7 @@ def station_places(spark, sf):
 
 @query("inner_transfers", f"""with {STOPS}, s as (select l_orderkey as trip, l_suppkey as station, l_linenumber as seq, l_partkey % 1440 as t, min(l_linenumber) over w as lo, max(l_linenumber) over w as hi from stops window w as (partition by l_orderkey)),
 m as (select a.trip as feeder, a.station, b.trip as connector, a.t as arr, b.t - a.t as buffer from s a join s b on a.station = b.station and a.trip <> b.trip and b.t - a.t between 8 and 45 where a.seq > a.lo and b.seq < b.hi)
-select feeder, arg_min(station, (arr, connector)) as station, arg_min(connector, (arr, connector)) as connector, arg_min(buffer, (arr, connector)) as buffer, count(*) as options from m group by feeder""")
+select feeder, arg_min(station, (arr, connector, station, buffer)) as station, arg_min(connector, (arr, connector, station, buffer)) as connector, arg_min(buffer, (arr, connector, station, buffer)) as buffer, count(*) as options from m group by feeder""")
 def inner_transfers(spark, sf):
     """Per feeder the earliest arrival at which a connection leaves 8 to 45 minutes later at the same station, ties to the smallest
     connector; not at the feeder's first stop nor at the connector's last. A range join by slots of 45 minutes."""
