@@ -257,8 +257,10 @@ def quota_report(traces: DataFrame, targets: DataFrame, stratum: str = "teacher"
     plan, records, fields = quota_plan(traces, targets, stratum)
     drawn = draw(plan, records, fields, seed).groupBy("request_id", "category").agg(F.count("*").alias("n_given"))
     keys = ["request_id", "category_field", "category", "sample_size", "target_permille", "min_rows"]
-    asked = plan.groupBy(*keys).agg(F.max("have").alias("n_available"), F.max("required").alias("n_required"), F.sum(F.expr(f"if(stratum = {MISSING}, quota, 0)")).alias("n_missing"))
+    asked = plan.groupBy(*keys).agg(F.max("have").alias("n_available"), F.max("required").alias("n_required"), F.sum(F.expr(f"if(stratum = {MISSING}, quota, 0)")).alias("n_missing"), F.sum(F.expr(f"if(stratum = {MISSING}, 0, quota)")).alias("n_planned"))
     out = asked.join(drawn, ["request_id", "category"], "left").na.fill(0, ["n_given"])
-    out = out.withColumn("short", F.col("n_missing") > 0).withColumn("below_target", F.col("n_given") < F.col("n_required"))
+    # the report is of the sample drawn: one that is not as planned is an error
+    kept = F.when(F.col("n_given") == F.col("n_planned"), F.lit(True)).otherwise(F.raise_error(F.lit("the sample drawn is not as planned")).cast("boolean"))
+    out = out.withColumn("short", kept & (F.col("n_missing") > 0)).withColumn("below_target", F.col("n_given") < F.col("n_required"))
     reason = F.when(F.col("short"), "too few at hand").when(F.col("below_target"), "minimums of other categories")
     return out.select(*keys, "n_available", "n_required", "n_missing", "n_given", "short", "below_target", reason.alias("reason"))
